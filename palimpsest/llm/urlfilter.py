@@ -119,6 +119,22 @@ def build_cascade(keys: DataFrame, key: str, listed: Column) -> tuple[DataFrame,
     return materialize(rows, "op2-cascade"), segments
 
 
+def _tester(shared):
+    """The function that tests keys against the broadcast segments."""
+
+    def test(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b, segment in parts:
+            u, v, s = a.to_numpy().view(np.uint64), b.to_numpy().view(np.uint64), segment.to_numpy()
+            found = np.zeros(len(s), bool)
+            for k in np.unique(s):
+                if int(k) in shared.value:
+                    own = s == k
+                    found[own] = member(shared.value[int(k)], u[own], v[own])
+            yield pd.Series(found)
+
+    return test
+
+
 def mark_listed(df: DataFrame, key: str, cascade: DataFrame, segments: int, out: str = "listed") -> DataFrame:
     """Add Boolean `out`: exact for every key of the universe the cascade was built over.
 
@@ -143,18 +159,7 @@ def mark_listed(df: DataFrame, key: str, cascade: DataFrame, segments: int, out:
         for r in rows:
             levels.setdefault(r["segment"], []).append((r["m"], bytes(r["bits"])))
         shared = spark.sparkContext.broadcast(levels)
-
-        def judge(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]], shared=shared) -> Iterator[pd.Series]:
-            for a, b, segment in parts:
-                u, v, s = a.to_numpy().view(np.uint64), b.to_numpy().view(np.uint64), segment.to_numpy()
-                found = np.zeros(len(s), bool)
-                for k in np.unique(s):
-                    if int(k) in shared.value:
-                        own = s == k
-                        found[own] = member(shared.value[int(k)], u[own], v[own])
-                yield pd.Series(found)
-
-        test = F.pandas_udf(judge, "boolean")
+        test = F.pandas_udf(_tester(shared), "boolean")
         df = df.withColumn(out, F.col(out) | test(*_hashes(F.col(key), segments)))
         if n + 1 < len(groups):
             df = materialize(df, "op2-pass")
