@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.llm.contamination import find_contamination
+from palimpsest.llm.quality import fit, judge_quality
 from palimpsest.llm.sharding import shard_documents
 from palimpsest.llm.urlfilter import Rule, judge_urls
 from palimpsest.runtime import table
@@ -52,12 +54,24 @@ from fits
 """
 
 
+def op6_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return judge_quality(docs, fit(docs, table(spark, sf_dir, "labels")), ["doc_id"])
+
+
+def op7_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.drop("item_ids")
+
+
 def op10_best_fit_decreasing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bloom_cascade": op2_bloom_cascade,
+    "op6_decision_list": op6_decision_list,
+    "op7_wu_manber": op7_wu_manber,
     "op10_best_fit_decreasing": op10_best_fit_decreasing,
 }
 ORACLES: dict[str, str] = {"op2_bloom_cascade": OP2_SQL}
