@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.contamination import find_contamination
+from palimpsest.llm.packing import pack_documents
 from palimpsest.llm.quality import fit, judge_quality
 from palimpsest.llm.sharding import shard_documents
+from palimpsest.llm.tokencount import count_tokens
 from palimpsest.llm.urlfilter import Rule, judge_urls
 from palimpsest.runtime import table
 
@@ -54,6 +56,21 @@ from fits
 """
 
 
+def tokenizer_files() -> tuple[str, str, str]:
+    """The byte-level vocabulary: the library's file, the same as ranks, and the split pattern."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op3_grouping_genetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), *tokenizer_files())
+
+
+def op4_resynchronised_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), *tokenizer_files())
+
+
 def op6_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return judge_quality(docs, fit(docs, table(spark, sf_dir, "labels")), ["doc_id"])
@@ -70,6 +87,8 @@ def op10_best_fit_decreasing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bloom_cascade": op2_bloom_cascade,
+    "op3_grouping_genetic": op3_grouping_genetic,
+    "op4_resynchronised_counts": op4_resynchronised_counts,
     "op6_decision_list": op6_decision_list,
     "op7_wu_manber": op7_wu_manber,
     "op10_best_fit_decreasing": op10_best_fit_decreasing,
