@@ -12,8 +12,8 @@ import pyarrow.compute as pc
 SLICE_BYTES = 8 << 20
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds at most `limit` bytes of text, or one row."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, rows: int = 1 << 14) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds at most `limit` bytes of text and `rows` rows, or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -23,6 +23,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            stop = min(stop, start + rows)
             yield batch.slice(start, stop - start)
             start = stop
 

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.contamination import find_contamination
+from palimpsest.llm.neardup import near_duplicates
 from palimpsest.llm.packing import pack_documents
+from palimpsest.llm.pseudonyms import pseudonymise
 from palimpsest.llm.quality import fit, judge_quality
 from palimpsest.llm.sharding import shard_documents
 from palimpsest.llm.tokencount import count_tokens
@@ -25,6 +27,10 @@ URL_RULES = [
 ]
 
 
+def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents"), ["doc_id", "text"])
+
+
 def op2_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stand-in block list: hosts whose MD5 starts with 0 to 3."""
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES, F.md5(F.col("host")) < F.lit("4"))
@@ -81,16 +87,22 @@ def op7_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("item_ids")
 
 
+def op9_prob_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_decreasing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_feistel_pseudonyms": op1_feistel_pseudonyms,
     "op2_bloom_cascade": op2_bloom_cascade,
     "op3_grouping_genetic": op3_grouping_genetic,
     "op4_resynchronised_counts": op4_resynchronised_counts,
     "op6_decision_list": op6_decision_list,
     "op7_wu_manber": op7_wu_manber,
+    "op9_prob_min_hash": op9_prob_min_hash,
     "op10_best_fit_decreasing": op10_best_fit_decreasing,
 }
 ORACLES: dict[str, str] = {"op2_bloom_cascade": OP2_SQL}
