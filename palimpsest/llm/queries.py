@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.contamination import find_contamination
+from palimpsest.llm.lmscore import score_documents
 from palimpsest.llm.neardup import near_duplicates
 from palimpsest.llm.packing import pack_documents
 from palimpsest.llm.pseudonyms import pseudonymise
@@ -77,6 +78,10 @@ def op4_resynchronised_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), *tokenizer_files())
 
 
+def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return judge_quality(docs, fit(docs, table(spark, sf_dir, "labels")), ["doc_id"])
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bloom_cascade": op2_bloom_cascade,
     "op3_grouping_genetic": op3_grouping_genetic,
     "op4_resynchronised_counts": op4_resynchronised_counts,
+    "op5_context_tree": op5_context_tree,
     "op6_decision_list": op6_decision_list,
     "op7_wu_manber": op7_wu_manber,
     "op9_prob_min_hash": op9_prob_min_hash,
