@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.contamination import find_contamination
+from palimpsest.llm.licenses import scan_licenses
 from palimpsest.llm.lmscore import score_documents
 from palimpsest.llm.neardup import near_duplicates
 from palimpsest.llm.packing import pack_documents
@@ -92,6 +93,17 @@ def op7_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("item_ids")
 
 
+def as_files(docs: DataFrame) -> DataFrame:
+    """The documents as a source tree: source/language/group/name, every eighth a licence file by name."""
+    name = F.when(F.col("doc_id") % 8 == 0, F.lit("LICENSE-")).otherwise(F.lit("file-"))
+    path = F.concat_ws("/", "source", "lang", F.concat(F.lit("group"), F.pmod(F.col("doc_id"), F.lit(5))), F.concat(name, F.col("doc_id")))
+    return docs.select("doc_id", path.alias("path"), "text")
+
+
+def op8_license_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(as_files(table(spark, sf_dir, "documents")))
+
+
 def op9_prob_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -108,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_context_tree": op5_context_tree,
     "op6_decision_list": op6_decision_list,
     "op7_wu_manber": op7_wu_manber,
+    "op8_license_tfidf": op8_license_tfidf,
     "op9_prob_min_hash": op9_prob_min_hash,
     "op10_best_fit_decreasing": op10_best_fit_decreasing,
 }
