@@ -17,6 +17,8 @@ from palimpsest.runtime import materialize, ship
 
 #: Text bytes of a block, whose distinct keys are looked up together; keys of a tree part.
 BLOCK_BYTES, PART_KEYS = 24 << 20, 400_000
+#: Text bytes of a block that are worked on at once.
+SLICE = 3 << 20
 #: Contexts of up to so many bytes are shared by all tree parts: 256 at most, and the root.
 SHARED_DEPTH = 1
 
@@ -36,18 +38,27 @@ def _word_hash(flat: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Sums:
-    """Sums by key, gathered slice by slice."""
+    """Sums by key, gathered slice by slice and merged once."""
 
     def __init__(self) -> None:
-        self.keys, self.sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.keys, back = np.unique(np.concatenate((self.keys, keys)), return_inverse=True)
-        self.sums = np.bincount(back, np.concatenate((self.sums, counts)), len(self.keys)).astype(np.int64)
+        self.parts.append((keys, counts.astype(np.int64)))
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        keys, counts = (np.concatenate(c) for c in zip(*self.parts))
+        self.parts.clear()
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
 
 def _text_slices(table: pa.Table):
-    return slices(iter(table.combine_chunks().to_batches()))
+    return slices(iter(table.to_batches()), limit=SLICE)
 
 
 def _scored(ends: np.ndarray, size: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,13 +88,14 @@ def _gather(depth: int):
             flat, text = words(pc.ascii_lower(array))
             hashes, code = _word_hash(flat)
             known.add(hashes, np.bincount(code[train[text]], minlength=len(hashes)))
-        n = len(grams.keys) + len(known.keys)
+        (gram_keys, gram_counts), (word_keys, word_counts) = grams.merged(), known.merged()
+        n = len(gram_keys) + len(word_keys)
         return pa.table(
             {
                 "block": pa.array(np.full(n, table.column("block")[0].as_py(), np.int32)),
-                "kind": pa.array(np.repeat(np.array([0, 1], np.int8), [len(grams.keys), len(known.keys)])),
-                "key": pa.array(np.concatenate((grams.keys, known.keys))),
-                "count": pa.array(np.concatenate((grams.sums, known.sums))),
+                "kind": pa.array(np.repeat(np.array([0, 1], np.int8), [len(gram_keys), len(word_keys)])),
+                "key": pa.array(np.concatenate((gram_keys, word_keys))),
+                "count": pa.array(np.concatenate((gram_counts, word_counts))),
             }
         )
 
@@ -131,10 +143,11 @@ def _score(depth: int, total: float, distinct: float, ends_known: float):
 
     def run(docs: pa.Table, values: pa.Table) -> pa.Table:
         kind, key, value = (values.column(c).to_numpy() for c in ("kind", "key", "value"))
-        order = np.lexsort((key, kind))
-        kind, key, value = kind[order], key[order], value[order]
-        cut = int(np.searchsorted(kind, 1))
-        gram_key, gram_value, word_key, word_value = key[:cut], value[:cut], key[cut:], value[cut:]
+        gram = kind == 0
+        gram_key, gram_value, word_key, word_value = key[gram], value[gram], key[~gram], value[~gram]
+        order = np.argsort(gram_key)
+        gram_key, gram_value = gram_key[order], gram_value[order]
+        del kind, key, value, gram, order, values
         local = _Sums()
         parts = []
         held = list(_text_slices(docs)) if docs.num_rows else []
@@ -145,10 +158,9 @@ def _score(depth: int, total: float, distinct: float, ends_known: float):
             train = ~b.column("held_out").to_numpy(zero_copy_only=False)
             local.add(hashes, np.bincount(code[train[text]], minlength=len(hashes)))
             split.append((hashes, code.astype(np.int32), text.astype(np.int32)))
-        counts = local.sums.astype(float)  # right for words of this block alone
-        if len(word_key):
-            at = np.searchsorted(local.keys, word_key)
-            counts[at] = word_value
+        local_key, local_count = local.merged()
+        counts = local_count.astype(float)  # right for words of this block alone
+        counts[np.searchsorted(local_key, word_key)] = word_value
         for b, (hashes, code, text) in zip(held, split):
             data, ends = stream(texts(b), depth)
             number, keys = index(data, depth)
@@ -158,7 +170,7 @@ def _score(depth: int, total: float, distinct: float, ends_known: float):
             each[~counted] = 0
             score = np.add.reduceat(each, starts)
             n = b.num_rows
-            mine = counts[np.searchsorted(local.keys, hashes)]
+            mine = counts[np.searchsorted(local_key, hashes)]
             worth = word(mine)[code] if len(code) else np.zeros(0)
             held_flag = b.column("held_out")
             parts.append(
