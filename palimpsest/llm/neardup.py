@@ -19,8 +19,12 @@ from palimpsest.runtime import materialize, ship
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair at the threshold shares no band with a probability of (1 - 0.8^5)^32 = 3e-6.
 BANDS, ROWS = 32, 5
-#: Star rounds with other leaders before the rest is compared exhaustively.
-STAR_ROUNDS = 3
+#: Pairs whose signatures agree in a smaller share are not near copies: 3.2 deviations below 0.8.
+LEAST_ESTIMATE = 0.7
+#: Members of a bucket that one task compares with as many that are still apart in it.
+BLOCK_MEMBERS = 2048
+#: Ids of texts to verify that are broadcast at most; more are joined by shuffling.
+BROADCAST_IDS = 1 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -103,7 +107,14 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
 
 
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Exact: the sum over common d of 1 / sum over d' of max(a[d'] / a[d], b[d'] / b[d])."""
+    """Exact: the sum over common d of 1 / sum over d' of max(a[d'] / a[d], b[d'] / b[d]).
+
+    Hashes are sorted and distinct; if all weights are 1 this is the Jaccard of the sets.
+    """
+    if len(a[0]) and len(b[0]) and a[1].max() == 1 and b[1].max() == 1:
+        at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+        common = int((b[0][at] == a[0]).sum())
+        return common / (len(a[0]) + len(b[0]) - common)
     every = np.union1d(a[0], b[0])
     if not len(every):
         return 0.0
@@ -119,7 +130,7 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint of the text, band keys (empty for a text without words)."""
+    """doc_id, fingerprint of the text, band keys (empty without words), registers as 16 bits each."""
     ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.md5(text).alias("fp"), text.alias("text"))
@@ -129,21 +140,92 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             doc, h, weight = shingles(texts(b))
             n = b.num_rows
             has = np.bincount(doc, minlength=n) > 0
-            keys = band_keys(prob_min_hash((np.cumsum(has) - 1)[doc], h, weight, int(has.sum())))
+            registers = prob_min_hash((np.cumsum(has) - 1)[doc], h, weight, int(has.sum()))
+            keys = band_keys(registers)
             edges = np.concatenate(([0], np.cumsum(has * BANDS))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("fp"), pa.ListArray.from_arrays(pa.array(edges), pa.array(keys.ravel()))], ["doc_id", "fp", "bands"])
+            small = iter(registers.astype(np.uint16))
+            signs = pa.array([next(small).tobytes() if x else b"" for x in has.tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("fp"), pa.ListArray.from_arrays(pa.array(edges), pa.array(keys.ravel())), signs], ["doc_id", "fp", "bands", "sign"])
+
+    return read.mapInArrow(run, "doc_id long, fp string, bands array<long>, sign binary")
+
+
+def _signs(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Signatures as rows of 16-bit registers."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BANDS * ROWS)
+
+
+def likely(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures agree often enough, long before any text is moved."""
+    both = pairs.join(signs.select(F.col("node").alias("a"), F.col("sign").alias("sa")), "a").join(signs.select(F.col("node").alias("b"), F.col("sign").alias("sb")), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                close = (_signs(b.column("sa")) == _signs(b.column("sb"))).mean(axis=1) >= LEAST_ESTIMATE
+                yield b.select(["a", "b"]).filter(pa.array(close))
+
+    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
+def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(node, hashes, weights) of the documents in `ids` (node): 32 bits a hash, 32 a weight."""
+    held = _texts_of(docs, ids.select(F.col("node").alias("id")), id_col, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "t", rows=4096):
+            doc, h, w = shingles(texts(b, "t"))
+            at = np.searchsorted(doc, np.arange(b.num_rows + 1))
+            h, w = (h >> np.uint64(16)).astype(np.uint32), np.minimum(w, (1 << 32) - 1).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array([x[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()) for x in (h, w))], ["node", "hashes", "weights"])
 
-    return read.mapInArrow(run, "doc_id long, fp string, bands array<long>")
+    return held.mapInArrow(run, "node long, hashes binary, weights binary")
+
+
+def _compare_block(similarity: float):
+    """A block of a bucket's members against a block of its apart ones: links between two components.
+
+    A pair is looked at only in the bucket of the least key it shares, and only while its
+    components are still two, so the links found are fewer than the components.
+    """
+
+    def run(part: pa.Table) -> pa.Table:
+        key = part.column("key")[0].as_py()
+        apart = part.column("apart").to_numpy(zero_copy_only=False)
+        own = part.column("own").to_numpy(zero_copy_only=False)
+        node, label, sign = part.column("node").to_numpy(), part.column("label").to_numpy().copy(), _signs(part.column("sign"))
+        bands = part.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        raw = [[np.frombuffer(x, np.uint32) for x in part.column(c).to_pylist()] for c in ("hashes", "weights")]
+        members = np.flatnonzero(own)
+        out: list[tuple[int, int]] = []
+        for i in np.flatnonzero(~own):
+            there = members[(label[members] != label[i]) & (~apart[members] | (node[members] > node[i]))]
+            there = there[(sign[there] == sign[i]).mean(axis=1) >= LEAST_ESTIMATE]
+            shared = np.where(bands[there] == bands[i], bands[there], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
+            for j in there[shared == key]:
+                if label[i] != label[j] and probability_jaccard((raw[0][i], raw[1][i]), (raw[0][j], raw[1][j])) >= similarity - 1e-9:
+                    out.append((min(node[i], node[j]), max(node[i], node[j])))
+                    label[label == label[j]] = label[i]
+        a, b = zip(*out) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, t): the texts of the documents in `ids` (id), which are broadcast up to a bound."""
+    held = materialize(ids.distinct(), "op9-ids")
+    read = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    return read.join(F.broadcast(held) if held.count() <= BROADCAST_IDS else held, "id", "left_semi").groupBy("id").agg(F.min("t").alias("t"))
 
 
 def verify(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pairs (a, b) whose texts have at least the probability Jaccard `similarity`.
 
-    Only texts that occur in a pair are read and moved.
+    Only texts that occur in a pair are moved. `pairs` is read more than once: pass a
+    materialized table.
     """
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    read = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    held = read.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("t").alias("t"))
+    held = _texts_of(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")), id_col, text_col)
     both = pairs.join(held.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(held.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,17 +242,25 @@ def verify(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, id
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, star_rounds: int = STAR_ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _relabel(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Bucket members with their component's label; nodes without links are their own."""
+    named = buckets.join(labels.select(F.col("node").alias("_n"), "label"), F.col("node") == F.col("_n"), "left")
+    return named.select("key", "node", F.coalesce("label", "node").alias("label"))
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id, kept for every row; a class's id is its least doc_id, the one that is kept.
 
     Two texts are linked if their five-word shingles, weighted by occurrences, have a
     probability Jaccard of at least `similarity` and they share a band; classes are the
     components. Equal texts are one node from the start. Within a bucket nobody is compared
-    with everybody: members are verified against a leader (the least id, then others chosen
-    by a hash, a different one in each band); only members that are still apart from their
-    bucket's largest-rooted component are compared with all of the bucket, and only if a
-    pair shares two bands. So a group of n near copies costs n comparisons a round, and no
-    link inside a bucket is skipped for its size.
+    with everybody: each member is compared with two leaders, the member whose buckets are
+    most crowded (the text that variants were made from, if there is one) and one chosen by
+    a hash, another in each band. Then members still apart from their bucket's largest
+    component are compared with all of the bucket, block by block inside tasks that give
+    only links. Pairs are judged by their signatures first and by their texts last.
+    So a group of n near copies costs 2 * BANDS * n comparisons at most, and no bucket is
+    skipped or cut for its size.
 
     Texts without words, null ones included, and rows with a null id are classes of their
     own; rows that share an id are one document; an empty table gives an empty result;
@@ -178,39 +268,39 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, star_rounds
     """
     ship(docs.sparkSession)
     signed = materialize(signatures(docs, id_col, text_col), "op9-signatures")
-    nodes = signed.filter(F.col("doc_id").isNotNull() & (F.size("bands") > 0)).groupBy("fp").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
-    nodes = materialize(nodes, "op9-nodes")
+    nodes = signed.filter(F.col("doc_id").isNotNull() & (F.size("bands") > 0)).groupBy("fp").agg(F.min(F.struct("doc_id", "bands", "sign")).alias("r"))
+    nodes = materialize(nodes.select("fp", F.col("r.doc_id").alias("node"), "r.bands", "r.sign"), "op9-nodes")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
-    crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    buckets = materialize(keyed.join(crowded, "key", "left_semi"), "op9-buckets")
-    edges = None
-    labels = None
-    for turn in range(star_rounds + 1):
-        if labels is None:
-            open_ = buckets.withColumn("label", F.col("node"))
-        else:
-            named = buckets.join(labels.select(F.col("node").alias("_n"), "label"), F.col("node") == F.col("_n"), "left")
-            named = named.select("key", "node", F.coalesce("label", "node").alias("label"))
-            split = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-            open_ = materialize(named.join(split, "key", "left_semi"), "op9-open")
-            if not open_.limit(1).count():
-                break
-        if turn < star_rounds:
-            order = F.col("node") if not turn else F.xxhash64(F.lit(turn), "key", "node")
-            leader = open_.groupBy("key").agg(F.min_by(F.struct("node", "label"), order).alias("l")).select("key", F.col("l.node").alias("a"), F.col("l.label").alias("la"))
-            pairs = open_.join(leader, "key").filter("label != la").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        else:
-            sizes = open_.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-            largest = sizes.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-            marked = open_.join(largest, "key")
-            apart = marked.filter("label != main").select("key", F.col("node").alias("x"), F.col("label").alias("lx"))
-            met = apart.join(open_, "key").filter("lx != label").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"), "key")
-            pairs = met.groupBy("a", "b").agg(F.count_distinct("key").alias("n")).filter("n > 1").select("a", "b")
-        linked = verify(materialize(pairs, "op9-pairs"), docs, similarity, id_col, text_col)
-        edges = linked if edges is None else edges.union(linked)
-        edges = materialize(edges, "op9-edges")
-        labels = materialize(components(edges), "op9-labels")
-        edges = labels.filter("node != label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+    crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    buckets = materialize(keyed.join(crowded, "key"), "op9-buckets")
+    crowd = buckets.groupBy("node").agg(F.sum("n").alias("crowd"))
+    signs = materialize(nodes.groupBy("node").agg(F.min(F.struct("sign", "bands")).alias("r")).select("node", "r.sign", "r.bands").join(crowd, "node"), "op9-signs")
+    ranked = buckets.join(signs.select("node", "crowd"), "node")
+    leaders = ranked.groupBy("key").agg(
+        F.max(F.struct("crowd", F.negative("node").alias("node"))).alias("c"), F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node")).alias("h")
+    ).select("key", (-F.col("c.node")).alias("l1"), F.col("h.node").alias("l2"))
+    led = buckets.join(leaders, "key").select("node", F.explode(F.array("l1", "l2")).alias("leader")).filter("node != leader")
+    pairs = led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    edges = materialize(verify(materialize(likely(pairs, signs), "op9-pairs"), docs, similarity, id_col, text_col), "op9-edges")
+    labels = materialize(components(edges), "op9-labels")
+
+    named = _relabel(buckets, labels)
+    sizes = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    split = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("members")).filter("parts > 1")
+    blocks = [F.ceil(c / BLOCK_MEMBERS).cast("int") for c in (F.col("members"), F.col("members") - F.col("main.n"))]
+    split = split.select("key", F.col("main.label").alias("main"), blocks[0].alias("blocks"), blocks[1].alias("turns"))
+    open_ = materialize(named.join(split, "key").withColumn("apart", F.col("label") != F.col("main")), "op9-open")
+    place = [F.pmod(F.xxhash64("node"), F.col(c)).cast("int") for c in ("blocks", "turns")]
+    every = [F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("blocks", "turns")]
+    members = open_.select("key", "node", "label", "apart", F.lit(True).alias("own"), place[0].alias("block"), every[1].alias("turn"))
+    asked = open_.filter("apart").select("key", "node", "label", "apart", F.lit(False).alias("own"), every[0].alias("block"), place[1].alias("turn"))
+    held = members.unionByName(asked).join(signs.select("node", "sign", "bands"), "node").join(shingle_sets(docs, open_.select("node"), id_col, text_col), "node")
+    rest = materialize(held.groupBy("key", "block", "turn").applyInArrow(_compare_block(similarity), "a long, b long").distinct(), "op9-rest")
+    if rest.limit(1).count():
+        more = materialize(verify(rest, docs, similarity, id_col, text_col), "op9-more")
+        if more.limit(1).count():
+            stars = labels.filter("node != label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+            labels = materialize(components(stars.union(more)), "op9-labels")
     named = nodes.select("fp", "node").join(labels.select(F.col("node").alias("_n"), "label"), F.col("node") == F.col("_n"), "left").select("fp", F.coalesce("label", "node").alias("label"))
     rows = signed.select("doc_id", "fp", (F.size("bands") > 0).alias("_worded"))
     out = rows.join(named.select(F.col("fp").alias("_fp"), "label"), F.col("_worded") & (F.col("fp") == F.col("_fp")), "left")
