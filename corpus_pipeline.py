@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.contamination import find_contamination
-from palimpsest.llm.neardup import near_duplicates
+from palimpsest.llm.neardup import BROADCAST_IDS, near_duplicates
 from palimpsest.llm.packing import pack_documents
 from palimpsest.llm.pseudonyms import pseudonymise
 from palimpsest.llm.quality import base_failed, fit, verdict, with_counts
@@ -18,34 +18,54 @@ from palimpsest.llm.queries import tokenizer_files
 from palimpsest.runtime import materialize, table
 
 
+def _marked(docs: DataFrame) -> DataFrame:
+    """The documents with every column's name marked, so that no name an operator uses is taken."""
+    return docs.withColumnsRenamed({c: f"_d_{c}" for c in docs.columns})
+
+
+def _unmarked(df: DataFrame, docs: DataFrame) -> DataFrame:
+    return df.select(*(F.col(f"_d_{c}").alias(c) for c in docs.columns))
+
+
+def _joinable(ids: DataFrame) -> DataFrame:
+    """Ids to join whole documents with: broadcast up to a bound, so that texts stay where they are."""
+    held = materialize(ids, "ids")
+    return F.broadcast(held) if held.count() <= BROADCAST_IDS else held
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep what neither the base rules nor the learned list rejects."""
     rules = fit(docs, table(spark, sf_dir, "labels"))
-    counted = with_counts(docs, docs.columns, prefix="_q_")
-    return counted.filter(~base_failed("_q_") & verdict(rules, "_q_")).select(*docs.columns)
+    marked = _marked(docs)
+    counted = with_counts(marked, marked.columns, text_col="_d_text", prefix="_q_")
+    return _unmarked(counted.filter(~base_failed("_q_") & verdict(rules, "_q_")), docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each class, and one row of each id that repeats; null ids stay."""
     judged = near_duplicates(docs)
-    drop = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("_drop")).distinct()
-    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").select(F.col("doc_id").alias("_again"))
+    drop = _joinable(judged.filter(~F.col("kept")).select(F.col("doc_id").alias("_drop")).distinct())
     left = docs.join(drop, F.col("doc_id") == F.col("_drop"), "left_anti")
-    once = left.join(repeated, F.col("doc_id") == F.col("_again"), "left_anti")
-    twice = left.join(repeated, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(twice)
+    repeated = judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").select(F.col("doc_id").alias("_again"))
+    repeated = materialize(repeated, "repeated")
+    if not repeated.limit(1).count():
+        return left
+    again = _joinable(repeated)
+    once = left.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
+    return once.unionByName(left.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which at least a twentieth is benchmark passages."""
-    renamed = docs.withColumnsRenamed({c: f"_d_{c}" for c in docs.columns})
-    found = find_contamination(renamed, table(spark, sf_dir, "benchmark"), renamed.columns, text_col="_d_text")
-    return found.filter("not contaminated").select(*(F.col(f"_d_{c}").alias(c) for c in docs.columns))
+    marked = _marked(docs)
+    found = find_contamination(marked, table(spark, sf_dir, "benchmark"), marked.columns, text_col="_d_text")
+    return _unmarked(found.filter("not contaminated"), docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Put pseudonyms in place of validated personal values, and count the characters anew."""
-    hidden = pseudonymise(docs, docs.columns, counts=False)
+    marked = _marked(docs)
+    hidden = _unmarked(pseudonymise(marked, marked.columns, text_col="_d_text", counts=False), docs)
     return hidden.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else hidden
 
 
