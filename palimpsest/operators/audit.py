@@ -76,6 +76,18 @@ def job_overview(jobs: list[tuple[str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, (v.select(F.lit(j).alias("job_id"), "*") for j, v in jobs))
 
 
+def declared_counts(counted: DataFrame, declared: DataFrame) -> DataFrame:
+    """Arms whose declared documents differ from the counted ones; an undeclared arm can't."""
+    both = declared.select(F.col("arm").alias("_a"), "declared_docs").join(counted, F.col("_a") == F.col("arm"), "full_outer")
+    out = both.select(F.coalesce("arm", "_a").alias("arm"), "declared_docs", F.coalesce("total_rows", F.lit(0)).alias("total_rows"))
+    return out.filter("declared_docs is not null and declared_docs != total_rows")
+
+
+def first_shards(manifest: DataFrame, n: int) -> DataFrame:
+    """The `n` shards of the lowest numbers."""
+    return manifest.orderBy("shard_index").limit(n)
+
+
 class SourceError(ValueError):
     """An input that isn't what a job takes."""
 

@@ -24,6 +24,12 @@ def corpus_totals(jobs: DataFrame) -> DataFrame:
     return arms.agg(F.sum("n").alias("n_jobs"), F.sum(F.col("docs") * F.col("n")).alias("est_rows"), F.sum("source_tokens").alias("source_tokens"), F.sum("tokens").alias("est_output_tokens"))
 
 
+def rollup(jobs: DataFrame, manifests: DataFrame) -> DataFrame:
+    """Per arm: what its manifest counted beside what its jobs expect."""
+    arms = jobs.groupBy("arm").agg(F.count(F.lit(1)).alias("n_jobs"), F.sum("est_output_tokens").alias("est_output_tokens"), F.max("source_tokens").alias("source_tokens"))
+    return manifests.select("arm", "total_rows", "total_text_bytes", "n_shards", "content_sha1").join(arms, "arm", "left")
+
+
 def disk_estimate(jobs: DataFrame) -> DataFrame:
     """Raw and compressed bytes of each job's output."""
     raw = F.col("est_output_tokens") * F.lit(BYTES_PER_TOKEN) + F.col("docs") * F.lit(BYTES_PER_ROW)

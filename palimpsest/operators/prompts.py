@@ -73,3 +73,10 @@ def prompt_overheads(spark, prompts: list[PromptSpec], chat: ChatTemplate, token
             rows.append((p.name, style, chat.prefix + text + chat.suffix, p.overheads.get(style)))
     df = spark.createDataFrame(rows, "prompt_id string, style string, final_prompt string, expected int")
     return df.withColumn("overhead", tokenizer.count(F.col("final_prompt"))).withColumn("ok", F.col("expected").isNull() | (F.col("overhead") == F.col("expected"))).drop("final_prompt")
+
+
+def prompt_users(spark, jobs: list[tuple[str, PromptSpec]]) -> DataFrame:
+    """Each distinct prompt text with how many jobs use it and which."""
+    rows = [(f"{arm}__{p.name}{'/' + s if s else ''}", t) for arm, p in jobs for s, t in (p.styles.items() if p.styles else [("", p.text)])]
+    df = spark.createDataFrame(rows, "user string, text string")
+    return df.groupBy("text").agg(F.count(F.lit(1)).alias("n_users"), F.array_join(F.array_sort(F.collect_list("user")), ",").alias("users"))

@@ -128,6 +128,15 @@ def prompt_overheads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompts.prompt_overheads(spark, [fx.WIKI, fx.DISTILL, fx.STYLED], fx.CHAT, fx.PROMPT_TOKENS).select("prompt_id", "style", "overhead")
 
 
+@query(
+    f"select text, count(*) as n_users, string_agg(u, ',' order by u) as users from (values ('every__wiki', {text(fx.WIKI.text)}), ('even__wiki', {text(fx.WIKI.text)}), ('every__distill', {text(fx.DISTILL.text)}), "
+    + ", ".join(f"('even__styled/{s}', {text(t)})" for s, t in fx.STYLED.styles.items())
+    + ") as v(u, text) group by text"
+)
+def prompt_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prompts.prompt_users(spark, [("every", fx.WIKI), ("even", fx.WIKI), ("every", fx.DISTILL), ("even", fx.STYLED)])
+
+
 def _rows_sql(prompt) -> str:
     """A job's output rows under the mock generator."""
     lead = (
@@ -344,6 +353,18 @@ def owned_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.owned_shards(sharding.shard_manifest(fx.sharded(spark, sf_dir)), 1, 4).select("shard_index", "n_rows")
 
 
+@query("with c as (select 'every' as arm, 1000 as declared_docs, (select count(*) from documents) + 1 as total_rows union all select 'even', (select count(*) from documents where doc_id % 2 = 0), (select count(*) from documents where doc_id % 2 = 0)) select * from c where declared_docs <> total_rows")
+def declared_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = {n: fx.arm(spark, sf_dir, n).count() for n in ("every", "even")}
+    counted = spark.createDataFrame([("every", counts["every"] + 1), ("even", counts["even"])], "arm string, total_rows long")
+    return audit.declared_counts(counted, spark.createDataFrame([("every", 1000), ("even", counts["even"])], "arm string, declared_docs long"))
+
+
+@query(f"with recursive {FOLD_SQL}, {_MANIFEST} select * from manifest order by shard_index limit 3")
+def first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.first_shards(sharding.shard_manifest(fx.sharded(spark, sf_dir)), 3)
+
+
 # --- shuffles --------------------------------------------------------------------------
 
 
@@ -483,6 +504,12 @@ def corpus_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return estimate.corpus_totals(_dim(spark, sf_dir))
 
 
+@query(f"with {_DIM}, {ORDERED_SQL} select 'every' as arm, (select count(*) from o) as total_rows, (select sum(b) from o) as total_text_bytes, (select count(distinct ord // {fx.TARGET_ROWS}) from o) as n_shards, (select sha1(string_agg(h, '' order by ord)) from o) as content_sha1, count(*) as n_jobs, sum(est_output_tokens) as est_output_tokens, max(source_tokens) as source_tokens from jobs where arm = 'every'")
+def corpus_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = materialize(sharding.cut(sharding.ordered(table(spark, sf_dir, "documents")), fx.TARGET_ROWS), "sharded")
+    return estimate.rollup(_dim(spark, sf_dir), sharding.manifest(held, "every", fx.TARGET_ROWS, fx.TARGET_BYTES, OUTPUT_KEYS))
+
+
 @query(f"with {_DIM} select arm, prompt_id, round(est_output_tokens * 4.2::double + docs * 297, 3) as raw_bytes, round((est_output_tokens * 4.2::double + docs * 297) * 0.3::double, 3) as zstd_bytes from jobs")
 def disk_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return estimate.disk_estimate(_dim(spark, sf_dir)).select("arm", "prompt_id", F.round("raw_bytes", 3).alias("raw_bytes"), F.round("zstd_bytes", 3).alias("zstd_bytes"))

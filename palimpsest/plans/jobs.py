@@ -123,6 +123,35 @@ class JobTable:
         raise ConfigError(f"no job {job_id!r}")
 
 
+def load_jobs(config: dict, read_text=None) -> JobTable:
+    """A checked job table from plain values, as a JSON or YAML file gives them.
+
+    A prompt's `text` or `styles` may be replaced by `file` and `style_files`, which
+    `read_text` turns into texts, read as they are.
+    """
+    known = {"arms", "prompts", "limits", "keys", "sharding", "expected_jobs"}
+    if set(config) - known:
+        raise ConfigError(f"unknown sections {sorted(set(config) - known)}")
+    prompts = {}
+    for name, p in config.get("prompts", {}).items():
+        fields = dict(p)
+        if "file" in fields:
+            fields["text"] = read_text(fields.pop("file"))
+        if "style_files" in fields:
+            fields["styles"] = {s: read_text(f) for s, f in fields.pop("style_files").items()}
+        try:
+            prompts[name] = PromptSpec(name, **fields)
+        except TypeError as e:
+            raise ConfigError(f"prompt {name}: {e}") from None
+    try:
+        arms = [Arm(**{**a, "prompts": tuple(a["prompts"]), "ratios": tuple(a.get("ratios", ()))}) for a in config.get("arms", [])]
+        limits = Limits(**config.get("limits", {}))
+    except (TypeError, KeyError) as e:
+        raise ConfigError(f"arms or limits: {e}") from None
+    extra = {k: config[k] for k in ("keys", "expected_jobs") if k in config}
+    return JobTable(arms, prompts, limits, **extra, **config.get("sharding", {})).check()
+
+
 def expand(values: dict[str, str]) -> dict[str, str]:
     """Resolve ${name} references among the values; a cycle or an unknown name is an error."""
     out: dict[str, str] = {}

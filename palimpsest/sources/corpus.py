@@ -88,6 +88,16 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path).first()[0])
 
 
+def write_summary(summary: DataFrame, root: str, job_id: str) -> None:
+    """One job's summary in a folder of its own, so that concurrent jobs never meet."""
+    summary.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/job_id={job_id}")
+
+
+def read_summaries(spark: SparkSession, root: str) -> DataFrame:
+    """All jobs' summaries as one table; whatever is there counts."""
+    return spark.read.json(root)
+
+
 def dataset_card(job_id: str, rows: int, tokens: int, keys: list[str]) -> str:
     """A Markdown card for an exported job."""
     lines = [f"# {job_id}", "", f"Rows: {rows:,}. Output tokens: {tokens:,}.", "", "Use rows of status 2; 0 was too long, 1 was cut off.", "", "| column |", "|---|", *(f"| {k} |" for k in keys)]

@@ -167,6 +167,26 @@ def test_bad_job_tables(arms, prompts_):
         JobTable(arms, prompts_).check()
 
 
+def test_loading_jobs(tmp_path):
+    from palimpsest.plans.jobs import load_jobs
+
+    (tmp_path / "p.txt").write_text("Say it again: [TEXT]")
+    config = {"arms": [{"name": "a", "subdir": "a", "prompts": ["p"]}], "prompts": {"p": {"mode": "grounded", "trim": "wiki", "file": "p.txt"}}, "sharding": {"target_rows": 10}, "expected_jobs": 1}
+    read = lambda f: (tmp_path / f).read_text()
+    assert load_jobs(config, read).job("a__p")[1].text == "Say it again: [TEXT]"
+    for change in ({"expected_jobs": 2}, {"odd": 1}, {"limits": {"odd": 1}}, {"arms": [{"name": "a"}]}, {"prompts": {"p": {"mode": "grounded"}}}):
+        with pytest.raises(ConfigError):
+            load_jobs(config | change, read)
+
+
+def test_summaries_of_several_jobs(spark, tmp_path):
+    from palimpsest.sources import corpus
+
+    for n in (1, 2):
+        corpus.write_summary(spark.createDataFrame([(n,)], "n_rows long"), str(tmp_path), f"a__p{n}")
+    assert {(r["job_id"], r["n_rows"]) for r in corpus.read_summaries(spark, str(tmp_path)).collect()} == {("a__p1", 1), ("a__p2", 2)}
+
+
 def test_config_helpers():
     assert fx.JOBS.check().job("even__styled")[1].name == "styled"
     with pytest.raises(ConfigError):
