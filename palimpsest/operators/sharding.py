@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions.text import text_bytes, text_sha1
@@ -49,20 +49,22 @@ def _arrive(nxt: np.ndarray) -> np.ndarray:
 
 
 def _block_map(rows: int, size: int, block_rows: int):
-    """A block as a function: from the open shard's start (rows before the block) to the one at its end."""
+    """A block as a function of the open shard's start: where the shard open at its end began.
+
+    Beside each possible start stand the bytes from it to the block.
+    """
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("ord")
         block = int(part["block"].iloc[0])
-        first = block * block_rows
-        total = np.concatenate(([0], np.cumsum(part["text_bytes"].to_numpy())))
         start = int(part["ord"].iloc[0])
+        halo = block * block_rows - start
+        total = np.concatenate(([0], np.cumsum(part["text_bytes"].to_numpy())))
         nxt = _next(total, rows, size)
         last = _arrive(nxt)
         # A shard that would begin exactly behind the block begins there.
         ends = np.where(nxt[last] == len(nxt), len(nxt), last)
-        halo = first - start
-        return pd.DataFrame({"block": [block], "after": [first + len(nxt) - halo], "table": [(start + ends[: halo + 1]).tolist()], "start": [start]})
+        return pd.DataFrame({"block": [block], "start": [start], "table": [(start + ends[: halo + 1]).tolist()], "held": [(total[halo] - total[: halo + 1]).tolist()]})
 
     return run
 
@@ -71,27 +73,34 @@ def _compose(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Follow the one path that begins at 0 through the blocks' tables, in order."""
     at = 0
     for part in parts:
-        entries = []
-        for table, start in zip(part["table"], part["start"]):
+        entries, held = [], []
+        for start, table, before in zip(part["start"], part["table"], part["held"]):
             entries.append(at)
+            held.append(int(before[at - start]))
             at = int(table[at - start])
-        yield pd.DataFrame({"block": part["block"], "entry": entries})
+        yield pd.DataFrame({"block": part["block"], "entry": entries, "held": held})
 
 
-def _block_cuts(rows: int, size: int, block_rows: int):
-    """The shard starts inside a block, given the start of the shard open at its beginning."""
+def _assign(rows: int, size: int):
+    """Rows of a block with the number, within it, of their shard and their place in that."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("ord")
-        first, entry, start = int(part["block"].iloc[0]) * block_rows, int(part["entry"].iloc[0]), int(part["ord"].iloc[0])
+        n, first = len(part), int(part["ord"].iloc[0])
+        entry, held = int(part["entry"].iloc[0]), int(part["held"].iloc[0])
         total = np.concatenate(([0], np.cumsum(part["text_bytes"].to_numpy())))
+        starts = [entry]
+        if entry < first:
+            at = min(entry + rows - first, int(np.searchsorted(total[1:], size - held)) + 1)
+        else:
+            starts, at = [], 0
         nxt = _next(total, rows, size)
-        out, at = [], entry - start
-        while at < len(nxt):
-            if start + at >= first:
-                out.append(start + at)
+        while at < n:
+            starts.append(first + at)
             at = int(nxt[at])
-        return pd.DataFrame({"first_ord": np.array(out, np.int64)})
+        starts = np.array(starts)
+        local = np.searchsorted(starts, part["ord"].to_numpy(), side="right") - 1
+        return part.assign(local=local.astype("int32"), row_in_shard=part["ord"].to_numpy() - starts[local]).drop(columns=["entry", "held"])
 
     return run
 
@@ -104,34 +113,33 @@ def cut(order: DataFrame, target_rows: int, target_bytes: int | None = None, blo
     one it is a fold whose state resets, run in parallel: a shard has at most `target_rows`
     rows, so a block of rows is a function on the at most `target_rows` places where the
     shard open at its beginning can have begun. Blocks work out that table, one task follows
-    a single path through the tables, and blocks then place their cuts.
+    a single path through the tables, and blocks then number their shards. A corpus of one
+    block needs no tables.
     """
     if target_bytes is None:
         return order.withColumn("shard_index", F.floor(F.col("ord") / target_rows).cast("int")).withColumn("row_in_shard", F.col("ord") % target_rows)
-    ship(order.sparkSession)
-    order = materialize(order, "order")
+    spark = order.sparkSession
+    ship(spark)
+    columns = order.columns
     block_rows = max(block_rows, target_rows)
-    sizes = order.select("ord", "text_bytes", F.floor(F.col("ord") / block_rows).cast("long").alias("block"))
-    ahead = sizes.filter(F.col("ord") % block_rows >= block_rows - target_rows).withColumn("block", F.col("block") + 1)
-    real = sizes.select("block").distinct()
-    held = sizes.unionByName(ahead.join(real, "block", "left_semi"))
-    tables = held.groupBy("block").applyInPandas(_block_map(target_rows, target_bytes, block_rows), "block long, after long, table array<long>, start long")
-    entries = materialize(tables.repartition(1).sortWithinPartitions("block").mapInPandas(_compose, "block long, entry long"), "entries")
-    cuts = held.join(entries, "block").groupBy("block").applyInPandas(_block_cuts(target_rows, target_bytes, block_rows), "first_ord long")
-    numbered = materialize(dense_rank_from_zero(cuts, [F.col("first_ord")], "shard_index"), "cuts")
-    # One row a cut meets its rows by block: a running count inside each, no range join.
-    marked = order.join(numbered.select(F.col("first_ord").alias("ord"), F.col("shard_index").alias("_cut")), "ord", "left")
-    filled = marked.withColumn("_block", F.floor(F.col("ord") / block_rows).cast("long"))
-    opens = entries.join(numbered, F.col("entry") == F.col("first_ord"), "left").select(F.col("block").alias("_b"), F.col("entry").alias("_entry"), F.col("shard_index").alias("_open"))
-    from pyspark.sql import Window
-
-    upto = Window.partitionBy("_block").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        filled.withColumn("_last", F.max("_cut").over(upto))
-        .withColumn("_from", F.max(F.when(F.col("_cut").isNotNull(), F.col("ord"))).over(upto))
-        .join(opens, F.col("_block") == F.col("_b"))
-    )
-    return placed.select(*order.columns, F.coalesce("_last", "_open").cast("int").alias("shard_index"), (F.col("ord") - F.coalesce("_from", "_entry")).alias("row_in_shard"))
+    order = materialize(order.withColumn("block", F.floor(F.col("ord") / block_rows).cast("long")), "order")
+    if order.count() <= block_rows:
+        entered = order.withColumn("entry", F.lit(0).cast("long")).withColumn("held", F.lit(0).cast("long"))
+    else:
+        sizes = order.select("ord", "text_bytes", "block")
+        ahead = sizes.filter(F.col("ord") % block_rows >= block_rows - target_rows).withColumn("block", F.col("block") + 1)
+        halves = sizes.unionByName(ahead.join(sizes.select("block").distinct(), "block", "left_semi"))
+        tables = halves.groupBy("block").applyInPandas(_block_map(target_rows, target_bytes, block_rows), "block long, start long, table array<long>, held array<long>")
+        entries = tables.repartition(1).sortWithinPartitions("block").mapInPandas(_compose, "block long, entry long, held long")
+        entered = order.join(materialize(entries, "entries"), "block")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in order.schema)
+    numbered = materialize(entered.groupBy("block").applyInPandas(_assign(target_rows, target_bytes), f"{schema}, local int, row_in_shard long"), "numbered")
+    # Shards that begin in the blocks before, less the one that was already open.
+    per = numbered.groupBy("block").agg(F.count_if(F.col("row_in_shard") == 0).alias("begun"), F.max_by("row_in_shard", -F.col("ord")).alias("first"))
+    before = Window.partitionBy(F.lit(1)).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    base = per.select(F.col("block").alias("_b"), (F.coalesce(F.sum("begun").over(before), F.lit(0)) - F.when(F.col("first") > 0, 1).otherwise(0)).alias("_base"))
+    placed = numbered.join(base, F.col("block") == F.col("_b"))
+    return placed.select(*columns, (F.col("_base") + F.col("local")).cast("int").alias("shard_index"), "row_in_shard")
 
 
 def shard_manifest(sharded: DataFrame) -> DataFrame:
