@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows one window partition holds on average.
-ROWS_PER_BLOCK = 1 << 15
+ROWS_PER_BLOCK = 1 << 12
 
 
 def gapless_rank(df: DataFrame, keys: list[str], order: list[str], out: str, rows: int) -> DataFrame:
