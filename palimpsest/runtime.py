@@ -10,14 +10,18 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+ARROW_BYTES, MOST_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
 
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once per application.
 
     The archive goes through the driver's file server, so executors need no shared
-    folder and no particular working directory.
+    folder and no particular working directory. Arrow batches are held to MOST_ARROW_BYTES,
+    as each is in memory twice, in the executor and in its Python worker.
     """
+    if int(spark.conf.get(ARROW_BYTES, str(MOST_ARROW_BYTES)).rstrip("b")) > MOST_ARROW_BYTES:
+        spark.conf.set(ARROW_BYTES, str(MOST_ARROW_BYTES))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -52,11 +56,13 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write `df` once as Parquet in the shared checkpoint folder and read it back.
 
     A written table survives lost executors and is never recomputed, which matters for
-    plans whose input is read more than once.
+    plans whose input is read more than once. It goes when the application ends.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
