@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes one kernel call works on; a longer single text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, rows: int = 1 << 14) -> Iterator[pa.RecordBatch]:
@@ -26,6 +27,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             stop = min(stop, start + rows)
             yield batch.slice(start, stop - start)
             start = stop
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on beside those of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> pa.Array:

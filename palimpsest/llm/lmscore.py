@@ -16,7 +16,7 @@ from palimpsest.llm.ctw import DEPTH, Level, code_length, index, stream, subtree
 from palimpsest.runtime import materialize, ship
 
 #: Text bytes of a block, whose distinct keys are looked up together; keys of a tree part.
-BLOCK_BYTES, PART_KEYS = 24 << 20, 400_000
+BLOCK_BYTES, PART_KEYS = 24 << 20, 100_000
 #: Text bytes of a block that are worked on at once.
 SLICE = 3 << 20
 #: Contexts of up to so many bytes are shared by all tree parts: 256 at most, and the root.
@@ -49,12 +49,14 @@ class _Sums:
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.parts:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        keys, counts = (np.concatenate(c) for c in zip(*self.parts))
-        self.parts.clear()
-        order = np.argsort(keys)
-        keys = keys[order]
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-        return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+        keys = np.concatenate([k for k, _ in self.parts])
+        keys.sort()
+        keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
+        sums = np.zeros(len(keys), np.int64)
+        while self.parts:  # a part's own keys are distinct
+            own, counts = self.parts.pop()
+            sums[np.searchsorted(keys, own)] += counts
+        return keys, sums
 
 
 def _text_slices(table: pa.Table):

@@ -21,6 +21,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
 #: Pairs whose signatures agree in a smaller share are not near copies: 3.2 deviations below 0.8.
 LEAST_ESTIMATE = 0.7
+#: Text bytes and texts one kernel call works on.
+SLICE, SLICE_ROWS = 3 << 20, 2048
 #: Members of a bucket that one task compares with as many that are still apart in it.
 BLOCK_MEMBERS = 2048
 #: Ids of texts to verify that are broadcast at most; more are joined by shuffling.
@@ -136,7 +138,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.md5(text).alias("fp"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, rows=4096):
+        for b in slices(batches, limit=SLICE, rows=SLICE_ROWS):
             doc, h, weight = shingles(texts(b))
             n = b.num_rows
             has = np.bincount(doc, minlength=n) > 0
@@ -173,7 +175,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_c
     held = _texts_of(docs, ids.select(F.col("node").alias("id")), id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "t", rows=4096):
+        for b in slices(batches, "t", SLICE, SLICE_ROWS):
             doc, h, w = shingles(texts(b, "t"))
             at = np.searchsorted(doc, np.arange(b.num_rows + 1))
             h, w = (h >> np.uint64(16)).astype(np.uint32), np.minimum(w, (1 << 32) - 1).astype(np.uint32)
@@ -229,7 +231,7 @@ def verify(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, id
     both = pairs.join(held.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(held.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "ta", 4 << 20, 2048):
+        for b in slices(batches, "ta", SLICE, SLICE_ROWS):
             sets = []
             for c in ("ta", "tb"):
                 doc, h, w = shingles(texts(b, c))

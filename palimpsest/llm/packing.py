@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.batches import slices, texts
-from palimpsest.llm.bpe import encoder
+from palimpsest.llm.bpe import SLICE, encoder
 from palimpsest.llm.grouping import Solution, best_fit, bins, dump, evolve, fitness, load, lower_bound
 from palimpsest.llm.placement import gapless_rank
 from palimpsest.runtime import materialize, ship
@@ -32,7 +32,7 @@ def token_pieces(docs: DataFrame, json_path: str, ranks_path: str | None = None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(json_path, ranks_path, pattern)
-        for b in slices(batches):
+        for b in slices(batches, limit=SLICE):
             counts, ids = enc.encode(texts(b))
             ends = np.cumsum(counts)
             closed = np.insert(ids.astype("<u4"), ends, np.uint32(end_id))

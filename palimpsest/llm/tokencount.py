@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palimpsest.llm.batches import slices, texts
-from palimpsest.llm.bpe import Encoder, encoder
+from palimpsest.llm.bpe import SLICE, Encoder, encoder
 from palimpsest.runtime import ship
 
 #: A text above HUGE bytes is encoded in chunks of CHUNK bytes that overlap by OVERLAP bytes.
@@ -112,7 +112,7 @@ def count_tokens(docs: DataFrame, json_path: str, ranks_path: str | None = None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(json_path, ranks_path, pattern)
         splice = Resynchroniser(enc, chunk, overlap)
-        for b in slices(batches):
+        for b in slices(batches, limit=SLICE):
             array = texts(b)
             size = pc.binary_length(array).to_numpy(zero_copy_only=False).astype(np.int64)
             long = size > huge
