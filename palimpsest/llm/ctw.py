@@ -8,17 +8,15 @@ UTF-8 text.
 
 from __future__ import annotations
 
-from __future__ import annotations
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 END = 0xFF
 #: Bytes of context.
-DEPTH = 4
+DEPTH = 5
 #: Entries of an index table; a slice with more distinct contexts is sorted instead.
-TABLE = 1 << 26
+TABLE = 1 << 24
 
 
 def stream(array: pa.Array, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:

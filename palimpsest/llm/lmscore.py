@@ -18,7 +18,7 @@ from palimpsest.runtime import materialize, ship
 #: Text bytes of a block, whose distinct keys are looked up together; keys of a tree part.
 BLOCK_BYTES, PART_KEYS = 24 << 20, 100_000
 #: Text bytes of a block that are worked on at once.
-SLICE = 3 << 20
+SLICE = 2 << 20
 #: Contexts of up to so many bytes are shared by all tree parts: 256 at most, and the root.
 SHARED_DEPTH = 1
 
