@@ -56,14 +56,28 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write `df` once as Parquet in the shared checkpoint folder and read it back.
 
     A written table survives lost executors and is never recomputed, which matters for
-    plans whose input is read more than once. It goes when the application ends.
+    plans whose input is read more than once. It goes with `discard`, or when the
+    application ends.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    held._written_to = path
+    return held
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again; a table `materialize` didn't give is left alone."""
+    for held in tables:
+        path = getattr(held, "_written_to", None)
+        if path:
+            spark = held.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            held._written_to = None
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
