@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import hmac
@@ -50,21 +51,22 @@ class Feistel:
                 left = (left - step if back else left + step) % a
         return left * b + right
 
-    def _walk(self, x: int, size: int, tweak: bytes, back: bool) -> int:
+    def _walk(self, x: int, size: int, tweak: bytes, back: bool, valid: Callable[[int], bool] | None) -> int:
         if size < 2:
             return x
         a = max(1, int(size**0.5))
         b = -(-size // a)
         while True:
             x = self._once(x, size, a, b, tweak, back)
-            if x < size:
+            if x < size and (valid is None or valid(x)):
                 return x
 
-    def encrypt(self, x: int, size: int, tweak: bytes) -> int:
-        return self._walk(x, size, tweak, False)
+    def encrypt(self, x: int, size: int, tweak: bytes, valid: Callable[[int], bool] | None = None) -> int:
+        """The image of `x`; with `valid`, of a permutation of the valid values alone (`x` is one)."""
+        return self._walk(x, size, tweak, False, valid)
 
-    def decrypt(self, x: int, size: int, tweak: bytes) -> int:
-        return self._walk(x, size, tweak, True)
+    def decrypt(self, x: int, size: int, tweak: bytes, valid: Callable[[int], bool] | None = None) -> int:
+        return self._walk(x, size, tweak, True, valid)
 
 
 def luhn_digit(body: str) -> int:
@@ -87,11 +89,34 @@ def _refill(pattern: str, fresh: str, wanted: Callable[[str], bool]) -> str:
 
 
 _DIGITS = "0123456789"
-_DAY0, _DAYS = datetime.date(1900, 1, 1).toordinal(), (datetime.date(2100, 1, 1) - datetime.date(1900, 1, 1)).days
+
+
+@lru_cache(1)
+def _late_days() -> list[datetime.date]:
+    """The days after the 12th of a month from 1900 to 2099, which no layout can take for a month."""
+    first = datetime.date(1900, 1, 1)
+    every = (first + datetime.timedelta(k) for k in range((datetime.date(2100, 1, 1) - first).days))
+    return [d for d in every if d.day > 12]
+
+
+# The country codes of one and of two digits; all others have three.
+SHORT_CODES = {
+    "1", "7",
+    "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49",
+    "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66",
+    "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98",
+}
+
+
+def country_code(digits: str) -> str:
+    """The country code an international number begins with."""
+    return next((digits[:n] for n in (1, 2) if digits[:n] in SHORT_CODES), digits[:3])
+
+
 
 # What each format looks like before validation.
 PATTERNS = {
-    "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+",
+    "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "date": r"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2})(?![0-9A-Za-z/-])",
     "ipv4": r"(?<![0-9A-Za-z.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
@@ -103,14 +128,15 @@ FIND = re.compile("|".join(f"(?P<{k}>{PATTERNS[k]})" for k in ("email", "iban",
 
 
 class Pseudonymiser:
-    """Replaces every validated value by another of its format; equal values stay equal."""
+    """Replaces every validated value by another of its format, one to one; equal values stay equal.
 
-    def __init__(self, key: bytes) -> None:
-        self.cipher = Feistel(key)
-        self.value = lru_cache(1 << 16)(self._value)
+    With `back` it turns pseudonyms into the values they stand for.
+    """
 
-    def _number(self, digits: str, tweak: bytes) -> str:
-        return str(self.cipher.encrypt(int(digits), 10 ** len(digits), tweak)).zfill(len(digits))
+    def __init__(self, key: bytes, back: bool = False) -> None:
+        cipher = Feistel(key)
+        self.permute = cipher.decrypt if back else cipher.encrypt
+        self.value = lru_cache(1 << 16)(self._value)
 
     def email(self, text: str) -> str:
         """The local part, each character within its own kind; the lower-cased domain is the tweak."""
@@ -120,19 +146,25 @@ class Pseudonymiser:
         for c, n in zip(local, sizes):
             at = ord(c) - (48 if n == 10 else 97 if c.islower() else 65)
             total, x = total * n, x * n + (at if n > 1 else 0)
-        x = self.cipher.encrypt(x, total, b"email" + domain.lower().encode())
+        x = self.permute(x, total, b"email" + domain.lower().encode())
         out = []
         for c, n in zip(reversed(local), reversed(sizes)):
             x, at = divmod(x, n)
             out.append(c if n == 1 else chr(at + (48 if n == 10 else 97 if c.islower() else 65)))
         return "".join(reversed(out)) + "@" + domain
 
+    def _digits(self, head: str, digits: str, tweak: bytes, whole: Callable[[str], str]) -> str:
+        """Permute `digits` behind `head` among those whose `whole` number isn't one digit again and again."""
+        n = len(digits)
+        made = lambda x: whole(head + str(x).zfill(n))
+        return made(self.permute(int(digits), 10**n, tweak + head.encode(), lambda x: len(set(made(x))) > 1))
+
     def card(self, text: str) -> str | None:
         digits = "".join(c for c in text if c in _DIGITS)
         if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != int(digits[-1]) or len(set(digits)) == 1:
             return None
-        body = digits[0] + self._number(digits[1:-1], b"card" + digits[:1].encode())
-        return _refill(text, body + str(luhn_digit(body)), _DIGITS.__contains__)
+        fresh = self._digits(digits[0], digits[1:-1], b"card", lambda body: body + str(luhn_digit(body)))
+        return _refill(text, fresh, _DIGITS.__contains__)
 
     def iban(self, text: str) -> str | None:
         plain = text.replace(" ", "")
@@ -143,7 +175,7 @@ class Pseudonymiser:
         total, x = 1, 0
         for c, n in zip(body, sizes):
             total, x = total * n, x * n + ord(c) - (48 if n == 10 else 65)
-        x = self.cipher.encrypt(x, total, b"iban" + country.encode())
+        x = self.permute(x, total, b"iban" + country.encode())
         out = []
         for n in reversed(sizes):
             x, at = divmod(x, n)
@@ -155,7 +187,7 @@ class Pseudonymiser:
         parts = text.split(".")
         if any(int(p) > 255 or str(int(p)) != p for p in parts):
             return None
-        x = self.cipher.encrypt(int.from_bytes(bytes(map(int, parts)), "big"), 1 << 32, b"ipv4")
+        x = self.permute(int.from_bytes(bytes(map(int, parts)), "big"), 1 << 32, b"ipv4")
         return ".".join(map(str, x.to_bytes(4, "big")))
 
     def ssn(self, text: str) -> str | None:
@@ -164,12 +196,23 @@ class Pseudonymiser:
         if area in (0, 666) or area > 899 or not group or not serial:
             return None
         x = ((area - (area > 666) - 1) * 99 + group - 1) * 9999 + serial - 1
-        x = self.cipher.encrypt(x, 898 * 99 * 9999, b"ssn")
+        x = self.permute(x, 898 * 99 * 9999, b"ssn")
         x, serial = divmod(x, 9999)
         area, group = divmod(x, 99)
         area += 1 + (area + 1 >= 666)
         return f"{area:03d}-{group + 1:02d}-{serial + 1:04d}"
 
+    def _day(self, day: datetime.date) -> datetime.date:
+        """Days up to the 12th among themselves, and later ones among themselves.
+
+        So a day that only one layout can hold stays one, and a day has one pseudonym in all layouts.
+        """
+        if day.day > 12:
+            late = _late_days()
+            return late[self.permute(bisect.bisect_left(late, day), len(late), b"date/late")]
+        x, d = divmod(self.permute(((day.year - 1900) * 12 + day.month - 1) * 12 + day.day - 1, 200 * 144, b"date/early"), 12)
+        return datetime.date(1900 + x // 12, x % 12 + 1, d + 1)
+
     def date(self, text: str) -> str | None:
         """A calendar day of 1900 to 2099; month first with slashes unless only day first is valid."""
         if "-" in text:
@@ -181,30 +224,28 @@ class Pseudonymiser:
         parts = re.split(r"[-./]", text)
         for layout in layouts:
             try:
-                day = datetime.date(*(int(parts[k]) for k in layout))
+                new = self._day(datetime.date(*(int(parts[k]) for k in layout)))
             except ValueError:
                 continue
-            new = datetime.date.fromordinal(_DAY0 + self.cipher.encrypt(day.toordinal() - _DAY0, _DAYS, b"date"))
-            if "/" in text and layout == (2, 1, 0) and new.day <= 12:
-                # Stay readable as day first: permute within the days that only read so.
-                days = [d for d in range(_DAYS) if datetime.date.fromordinal(_DAY0 + d).day > 12]
-                new = datetime.date.fromordinal(_DAY0 + days[self.cipher.encrypt(days.index(day.toordinal() - _DAY0), len(days), b"date/day-first")])
-            shown = {0: f"{new.year:04d}", 1: f"{new.month:02d}", 2: f"{new.day:02d}"}
             out = ["", "", ""]
-            for what, k in enumerate(layout):
-                out[k] = shown[what]
+            for k, shown in zip(layout, (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}")):
+                out[k] = shown
             return re.sub(r"[0-9]+", lambda _, it=iter(out): next(it), text)
         return None
 
     def phone(self, text: str) -> str | None:
-        """7 to 15 digits; the country code stays, the national digits are permuted behind their first."""
-        code = re.match(r"\+[1-9][0-9]{0,2}(?=[ .-])|\+[1-9]", text)
-        head = code.group() if code else ""
-        digits = "".join(c for c in text[len(head) :] if c in _DIGITS)
-        if not 7 <= len(digits) + len(head[1:]) <= 15 or len(set(digits)) == 1:
+        """7 to 15 digits; the country code stays, the national digits are permuted behind their first.
+
+        Layout plays no part, and a number without a code is one of code 1, so +1 212 555 0100
+        and (212) 555-0100 stay linked.
+        """
+        digits = "".join(c for c in text if c in _DIGITS)
+        code = country_code(digits) if text.startswith("+") else "1"
+        national = digits[len(code) :] if text.startswith("+") else digits
+        if not 7 <= len(code) + len(national) <= 15 or len(national) < 2 or len(set(national)) == 1:
             return None
-        fresh = digits[0] + self._number(digits[1:], b"phone" + head.encode() + digits[:1].encode())
-        return head + _refill(text[len(head) :], fresh, _DIGITS.__contains__)
+        fresh = self._digits(national[0], national[1:], b"phone" + code.encode() + b"/", str)
+        return _refill(text, code + fresh if text.startswith("+") else fresh, _DIGITS.__contains__)
 
     def _value(self, kind: str, text: str) -> str | None:
         return getattr(self, kind)(text)
@@ -239,7 +280,8 @@ def pseudonymise(docs: DataFrame, columns: list[str], key: bytes = DEMO_KEY, tex
 
     `columns` may hold the text column, which keeps its place. One narrow pass: no value is
     looked up anywhere, so the same value gets the same pseudonym on every executor and run
-    with the same key, in all formats of its kind alike. Null texts stay null, empty ones
+    with the same key, however it is laid out: dates in every layout, phone numbers, cards and
+    IBANs with or without separators, letters of either case in e-mail addresses. Null texts stay null, empty ones
     empty; repeated rows and null ids are treated like others; an empty table gives an empty
     result. With `counts` the counts' names must not be among `columns`.
     """

@@ -63,6 +63,77 @@ def test_pseudonyms_link_equal_values_and_leave_the_rest():
         assert a.replace(text)[0] == text
 
 
+def one(work, text):
+    out, counts = work.replace(text)
+    assert sum(counts.values()) == 1, text
+    return out
+
+
+def test_every_kind_is_one_to_one():
+    """Pseudonyms are distinct, valid, and turn back into what they stand for."""
+    work, back = Pseudonymiser(b"key"), Pseudonymiser(b"key", back=True)
+    rng = random.Random(4)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card(n):
+        body = str(rng.randint(1, 9)) + digits(n - 2)
+        return body + str(luhn_digit(body))
+
+    def iban(country, n):
+        body = digits(n - 4)
+        return f"{country}{iban_digits(country, body):02d}{body}"
+
+    samples = {
+        "email": {f"{digits(rng.randint(1, 3))}{rng.choice('abz')}.{rng.choice('QRx')}@h{rng.randint(1, 3)}.org" for _ in range(3000)},
+        "card": {card(rng.choice((13, 15, 16, 19))) for _ in range(3000)},
+        "iban": {iban(c, n) for c, n in (("DE", 22), ("NO", 15), ("FR", 27)) for _ in range(700)},
+        "ipv4": {".".join(str(rng.randint(0, 255)) for _ in range(4)) for _ in range(3000)},
+        "ssn": {f"{rng.choice((1, 665, 667, 899, rng.randint(667, 899))):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}" for _ in range(3000)},
+        "phone": {f"+{c}{rng.randint(1, 9)}{digits(n)}" for c, n in (("1", 9), ("49", 6), ("49", 9), ("353", 8), ("7", 9)) for _ in range(700)},
+    }
+    for kind, values in samples.items():
+        made = {v: one(work, v) for v in values}
+        assert len(set(made.values())) == len(values), kind
+        assert all(one(back, p) == v for v, p in made.items()), kind
+
+
+def test_all_days_are_one_to_one_in_every_layout():
+    import datetime
+
+    work, back = Pseudonymiser(b"key"), Pseudonymiser(b"key", back=True)
+    first = datetime.date(1900, 1, 1)
+    days = [first + datetime.timedelta(k) for k in range((datetime.date(2100, 1, 1) - first).days)]
+    made = [work._day(d) for d in days]
+    assert sorted(made) == days and all((a.day > 12) == (b.day > 12) for a, b in zip(days, made))
+    for layout in ("%Y-%m-%d", "%d.%m.%Y", "%m/%d/%Y"):
+        for d, p in list(zip(days, made))[::577]:
+            assert one(work, d.strftime(layout)) == p.strftime(layout) and one(back, p.strftime(layout)) == d.strftime(layout)
+    for d, p in list(zip(days, made))[::53]:
+        if d.day > 12:
+            assert one(work, d.strftime("%d/%m/%Y")) == p.strftime("%d/%m/%Y")
+    slashed = {d.strftime(x) for d in days[::7] for x in ("%d/%m/%Y", "%m/%d/%Y")}
+    assert len({one(work, t) for t in slashed}) == len(slashed)
+
+
+def test_layouts_of_one_value_stay_linked():
+    work = Pseudonymiser(b"key")
+    plain = lambda t: "".join(c for c in one(work, t) if c.isdigit())
+    assert len({plain(t) for t in ("+49 30 1234 5678", "+493012345678", "+49 (30) 1234 5678", "+49.30.1234.5678")}) == 1
+    assert {plain(t)[-10:] for t in ("(212) 555-0100", "212-555-0100", "212.555.0100", "+1 212 555 0100", "+12125550100")} == {plain("+12125550100")[1:]}
+    assert plain("+353861234567")[:3] == "353" and plain("+493012345678")[:2] == "49"
+    assert one(work, "Bob@Example.org").lower() == one(work, "bob@example.org")
+
+
+def test_long_texts_take_linear_time():
+    import time
+
+    work = Pseudonymiser(b"key")
+    for text in ("%E3%81%82" * 116_000, "a" * (1 << 20) + "@", "a@" + "b" * (1 << 20), "1" * (1 << 20), "1-2 " * (1 << 18), "a.b+c" * 200_000 + " x@y.org"):
+        began = time.perf_counter()
+        work.replace(text)
+        assert time.perf_counter() - began < 3, text[:20]
+
+
 # --- op 2
 
 
