@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,12 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palimpsest.llm.batches import lut, slices, texts
-from palimpsest.runtime import materialize, ship
+from palimpsest.runtime import discard, materialize, ship
 
 #: Consecutive words of an item that count as a passage of it.
 WINDOW = 13
 #: Benchmark text searched for in one pass; a larger benchmark takes several passes.
 PASS_BYTES = 2 << 20
+#: Windows of a long item that travel in one row.
+CHUNK_WINDOWS = 4096
 #: Slots of a shift table, bytes of a block, positions a lane of the scan covers.
 SLOTS, BLOCK, LANE = 1 << 20, 8, 2048
 
@@ -173,51 +176,95 @@ def scan(array: pa.Array, tiers: list[Tier]) -> tuple[np.ndarray, np.ndarray, li
     return counts, np.cumsum(edge[:total]) > 0, items
 
 
-def benchmark_passes(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", limit: int = PASS_BYTES) -> list[list[tuple[object, str | None]]]:
-    """The benchmark's items in groups of about `limit` bytes of text, by a hash of the item."""
-    total = benchmark.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
+def item_chunks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(item, words): the items as normal words, long ones in chunks that share no window.
+
+    Every window of an item is whole in exactly one chunk; a chunk has CHUNK_WINDOWS windows at
+    most, so no row outgrows what one pass may hold.
+    """
+    ship(benchmark.sparkSession)
+    read = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            item, out = [], []
+            for key, body in zip(b.column("item").to_pylist(), bytes(normalize(texts(b))).split(b"\x01")):
+                words = body.split()
+                for i in range(0, max(1, len(words) - WINDOW + 1) if words else 0, CHUNK_WINDOWS):
+                    item.append(key)
+                    out.append(b" ".join(words[i : i + CHUNK_WINDOWS + WINDOW - 1]).decode())
+            yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(out, pa.string())], ["item", "words"])
+
+    return read.mapInArrow(run, "item string, words string")
+
+
+def benchmark_passes(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", limit: int = PASS_BYTES) -> Iterator[list[tuple[str | None, str]]]:
+    """The benchmark's chunks in groups of about `limit` bytes, by a hash; one group at a time is on the driver."""
+    chunks = item_chunks(benchmark, item_col, text_col)
+    total = chunks.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()[0]
     groups = max(1, -(-total // limit))
-    at = F.pmod(F.xxhash64(item_col, text_col), F.lit(groups))
-    return [[(r[0], r[1]) for r in benchmark.filter(at == g).select(item_col, text_col).collect()] for g in range(groups)]
+    at = F.pmod(F.xxhash64("words"), F.lit(groups))
+    for g in range(groups):
+        yield [(r[0], r[1]) for r in chunks.filter(at == g).collect()]
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, columns: list[str], text_col: str = "text", pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """`columns` of `docs`, n_words, n_hit, n_items, items_sha256, contaminated, item_ids for every row.
-
-    A benchmark of up to `pass_bytes` is searched for in one narrow pass, its tables
-    broadcast; a larger one takes a pass for each such part, with a written table in
-    between that carries a bit for each word, so tables never outgrow their bound. Null and
-    empty texts have no words and are clean; items without words hold no passage; an item
-    with a null id marks words but is not named; repeated rows are judged alike; an empty
-    table gives an empty result; columns that aren't asked for are not read.
+    """`columns` of `docs`, n_words, n_hit, n_items, items_sha256, contaminated, longest_hit, item_ids for every row.
+
+    `longest_hit` is the longest run of hit words. A benchmark of up to `pass_bytes` is
+    searched for in one narrow pass, its tables broadcast; a larger one takes a pass for each
+    such part, with a written table in between that carries a bit for each word, so neither
+    tables nor what the driver holds outgrow their bound. Null and empty texts have no words
+    and are clean; items without words hold no passage; an item with a null id marks words
+    but is not named; repeated rows are judged alike; an empty table gives an empty result;
+    columns that aren't asked for are not read.
     """
     spark: SparkSession = docs.sparkSession
     ship(spark)
     read = docs.select(*columns, F.col(text_col).alias("_text_read"))
-    groups = benchmark_passes(benchmark, limit=pass_bytes)
     kept = [f for f in read.schema if f.name != "_text_read"]
     middle = T.StructType(list(read.schema) + [T.StructField("_hits", T.BinaryType()), T.StructField("_found", T.ArrayType(T.StringType()))])
-    final = T.StructType(kept + [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType()), T.StructField("contaminated", T.BooleanType()), T.StructField("item_ids", T.ArrayType(T.StringType()))])
-    for n, items in enumerate(groups):
-        shared = spark.sparkContext.broadcast(passages(items))
-        last = n + 1 == len(groups)
-        read = read.mapInArrow(_pass(shared, [f.name for f in kept], n > 0, last), final if last else middle)
-        if not last:
-            read = materialize(read, "op7-pass")
-    return read
+    final = T.StructType(kept + [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("n_items", T.LongType()), T.StructField("items_sha256", T.StringType()), T.StructField("contaminated", T.BooleanType()), T.StructField("longest_hit", T.LongType()), T.StructField("item_ids", T.ArrayType(T.StringType()))])
+    passes, resumed = benchmark_passes(benchmark, limit=pass_bytes), False
+    items, after = next(passes), next(passes, None)
+    while True:
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, passages(items)))
+        last = after is None
+        found = read.mapInArrow(_pass(shared, [f.name for f in kept], resumed, last), final if last else middle)
+        if last:
+            return found
+        before, read, resumed = read if resumed else None, materialize(found, "op7-pass"), True
+        if before is not None:
+            discard(before)
+        items, after = after, next(passes, None)
+
+
+def longest_runs(hit: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """The longest run of set flags inside each of the parts that `edges` delimits."""
+    out = np.zeros(len(edges) - 1, np.int64)
+    on = np.flatnonzero(hit)
+    if not len(on):
+        return out
+    part = np.searchsorted(edges, on, side="right") - 1
+    fresh = np.concatenate(([True], (on[1:] != on[:-1] + 1) | (part[1:] != part[:-1])))
+    start = np.flatnonzero(fresh)
+    np.maximum.at(out, part[start], np.diff(np.concatenate((start, [len(on)]))))
+    return out
 
 
-_tables: dict[int, list[Tier]] = {}
+#: The tables a worker built last, by the name of their broadcast, which no other pass has.
+_tables: dict[str, list[Tier]] = {}
 
 
 def _pass(shared, columns: list[str], resumed: bool, last: bool):
     """One pass over batches: search, merge with earlier passes, and sum up after the last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if id(shared.value) not in _tables:
+        name, found_in = shared.value
+        if name not in _tables:
             _tables.clear()
-            _tables[id(shared.value)] = build(shared.value)
-        tiers = _tables[id(shared.value)]
+            _tables[name] = build(found_in)
+        tiers = _tables[name]
         for b in slices(batches, "_text_read"):
             counts, hit, items = scan(texts(b, "_text_read"), tiers)
             edges = np.concatenate(([0], np.cumsum(counts)))
@@ -238,8 +285,8 @@ def _pass(shared, columns: list[str], resumed: bool, last: bool):
             digest = [hashlib.sha256(",".join(s).encode()).hexdigest() for s in names]
             dirty = (hits > 0) & (20 * hits >= counts)
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in columns), pa.array(counts, pa.int64()), pa.array(hits, pa.int64()), pa.array([len(s) for s in names], pa.int64()), pa.array(digest, pa.string()), pa.array(dirty), pa.array(names, pa.list_(pa.string()))],
-                [*columns, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "item_ids"],
+                [*(b.column(c) for c in columns), pa.array(counts, pa.int64()), pa.array(hits, pa.int64()), pa.array([len(s) for s in names], pa.int64()), pa.array(digest, pa.string()), pa.array(dirty), pa.array(longest_runs(hit, edges)), pa.array(names, pa.list_(pa.string()))],
+                [*columns, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_hit", "item_ids"],
             )
 
     return run
