@@ -8,25 +8,30 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.llm.batches import slices, texts, words
 from palimpsest.llm.components import components
-from palimpsest.runtime import materialize, ship
+from palimpsest.runtime import discard, materialize, ship
 
 #: Words of a shingle and the probability Jaccard from which two texts are near copies.
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair at the threshold shares no band with a probability of (1 - 0.8^5)^32 = 3e-6.
 BANDS, ROWS = 32, 5
-#: Pairs whose signatures agree in a smaller share are not near copies: 3.2 deviations below 0.8.
-LEAST_ESTIMATE = 0.7
+#: Pairs whose signatures agree in a smaller share are not near copies: 4.7 deviations below 0.8.
+LEAST_ESTIMATE = 0.65
 #: Text bytes and texts one kernel call works on.
 SLICE, SLICE_ROWS = 3 << 20, 2048
 #: Members of a bucket that one task compares with as many that are still apart in it.
-BLOCK_MEMBERS = 2048
-#: Ids of texts to verify that are broadcast at most; more are joined by shuffling.
-BROADCAST_IDS = 1 << 20
+BLOCK_MEMBERS = 1024
+#: Fingerprints of texts to verify that are broadcast at most; more are joined by shuffling.
+BROADCAST_IDS = 1 << 19
+
+
+def fingerprint(text: Column) -> Column:
+    """What tells texts apart: the MD5 as 16 bytes."""
+    return F.unhex(F.md5(text))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -132,10 +137,10 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint of the text, band keys (empty without words), registers as 16 bits each."""
+    """doc_id, MD5 of the text, band keys (empty without words), registers as 16 bits each."""
     ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.md5(text).alias("fp"), text.alias("text"))
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), fingerprint(text).alias("fp"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, limit=SLICE, rows=SLICE_ROWS):
@@ -149,7 +154,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             signs = pa.array([next(small).tobytes() if x else b"" for x in has.tolist()], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("fp"), pa.ListArray.from_arrays(pa.array(edges), pa.array(keys.ravel())), signs], ["doc_id", "fp", "bands", "sign"])
 
-    return read.mapInArrow(run, "doc_id long, fp string, bands array<long>, sign binary")
+    return read.mapInArrow(run, "doc_id long, fp binary, bands array<long>, sign binary")
 
 
 def _signs(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -170,25 +175,37 @@ def likely(pairs: DataFrame, signs: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(node, hashes, weights) of the documents in `ids` (node): 32 bits a hash, 32 a weight."""
-    held = _texts_of(docs, ids.select(F.col("node").alias("id")), id_col, text_col)
+def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(node, hashes, weights) of the texts of `wanted` (node, fp, first_id): 64 bits a hash, 32 a weight.
+
+    Of equal texts only the rows of the least id are read out, and one of these counts. The
+    wanted fingerprints are broadcast up to BROADCAST_IDS, beyond which Spark shuffles.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), fingerprint(text).alias("_fp"), text.alias("t"))
+    held = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    own = read.join(held, (F.col("_fp") == F.col("fp")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("node").agg(F.first("t").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "t", SLICE, SLICE_ROWS):
             doc, h, w = shingles(texts(b, "t"))
             at = np.searchsorted(doc, np.arange(b.num_rows + 1))
-            h, w = (h >> np.uint64(16)).astype(np.uint32), np.minimum(w, (1 << 32) - 1).astype(np.uint32)
-            yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array([x[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()) for x in (h, w))], ["node", "hashes", "weights"])
+            w = np.minimum(w, (1 << 32) - 1).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([b.column("node"), *(pa.array([x[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()) for x in (h, w))], ["node", "hashes", "weights"])
 
-    return held.mapInArrow(run, "node long, hashes binary, weights binary")
+    return own.mapInArrow(run, "node long, hashes binary, weights binary")
+
+
+def _sets(hashes: pa.ChunkedArray | pa.Array, weights: pa.ChunkedArray | pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(np.frombuffer(h, np.uint64), np.frombuffer(w, np.uint32)) for h, w in zip(hashes.to_pylist(), weights.to_pylist())]
 
 
 def _compare_block(similarity: float):
     """A block of a bucket's members against a block of its apart ones: links between two components.
 
     A pair is looked at only in the bucket of the least key it shares, and only while its
-    components are still two, so the links found are fewer than the components.
+    components are still two, so the links found are fewer than the components. A link is
+    given, and its components merged, once the whole shingle sets confirm it.
     """
 
     def run(part: pa.Table) -> pa.Table:
@@ -197,7 +214,7 @@ def _compare_block(similarity: float):
         own = part.column("own").to_numpy(zero_copy_only=False)
         node, label, sign = part.column("node").to_numpy(), part.column("label").to_numpy().copy(), _signs(part.column("sign"))
         bands = part.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        raw = [[np.frombuffer(x, np.uint32) for x in part.column(c).to_pylist()] for c in ("hashes", "weights")]
+        sets = _sets(part.column("hashes"), part.column("weights"))
         members = np.flatnonzero(own)
         out: list[tuple[int, int]] = []
         for i in np.flatnonzero(~own):
@@ -205,7 +222,7 @@ def _compare_block(similarity: float):
             there = there[(sign[there] == sign[i]).mean(axis=1) >= LEAST_ESTIMATE]
             shared = np.where(bands[there] == bands[i], bands[there], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
             for j in there[shared == key]:
-                if label[i] != label[j] and probability_jaccard((raw[0][i], raw[1][i]), (raw[0][j], raw[1][j])) >= similarity - 1e-9:
+                if label[i] != label[j] and probability_jaccard(sets[i], sets[j]) >= similarity - 1e-9:
                     out.append((min(node[i], node[j]), max(node[i], node[j])))
                     label[label == label[j]] = label[i]
         a, b = zip(*out) if out else ((), ())
@@ -214,34 +231,22 @@ def _compare_block(similarity: float):
     return run
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, t): the texts of the documents in `ids` (id), which are broadcast up to a bound."""
-    held = materialize(ids.distinct(), "op9-ids")
-    read = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    return read.join(F.broadcast(held) if held.count() <= BROADCAST_IDS else held, "id", "left_semi").groupBy("id").agg(F.min("t").alias("t"))
-
+def verify(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have at least the probability Jaccard `similarity`.
 
-def verify(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pairs (a, b) whose texts have at least the probability Jaccard `similarity`.
-
-    Only texts that occur in a pair are moved. `pairs` is read more than once: pass a
-    materialized table.
+    Both are plain tables, so a text that a whole family is held against is split over tasks.
     """
-    held = _texts_of(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")), id_col, text_col)
-    both = pairs.join(held.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(held.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
+    both = pairs
+    for k in "ab":
+        both = both.join(sets.select(F.col("node").alias(k), F.col("hashes").alias(f"h{k}"), F.col("weights").alias(f"w{k}")), k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "ta", SLICE, SLICE_ROWS):
-            sets = []
-            for c in ("ta", "tb"):
-                doc, h, w = shingles(texts(b, c))
-                at = np.searchsorted(doc, np.arange(b.num_rows + 1))
-                sets.append([(h[i:j], w[i:j]) for i, j in zip(at[:-1], at[1:])])
-            good = np.array([probability_jaccard(x, y) >= similarity - 1e-9 for x, y in zip(*sets)], bool)
-            kept = b.select(["a", "b"]).filter(pa.array(good))
-            yield kept
+        for b in slices(batches, "ha", SLICE, SLICE_ROWS):
+            one, two = _sets(b.column("ha"), b.column("wa")), _sets(b.column("hb"), b.column("wb"))
+            good = np.array([probability_jaccard(x, y) >= similarity - 1e-9 for x, y in zip(one, two)], bool)
+            yield b.select(["a", "b"]).filter(pa.array(good))
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "ha", "wa", "hb", "wb").mapInArrow(run, "a long, b long")
 
 
 def _relabel(buckets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -251,7 +256,7 @@ def _relabel(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id, kept for every row; a class's id is its least doc_id, the one that is kept.
+    """doc_id, class_id, kept, text_md5 for every row; a class's id is its least doc_id.
 
     Two texts are linked if their five-word shingles, weighted by occurrences, have a
     probability Jaccard of at least `similarity` and they share a band; classes are the
@@ -260,50 +265,72 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     most crowded (the text that variants were made from, if there is one) and one chosen by
     a hash, another in each band. Then members still apart from their bucket's largest
     component are compared with all of the bucket, block by block inside tasks that give
-    only links. Pairs are judged by their signatures first and by their texts last.
+    only links. Pairs are judged by their signatures first and by their shingle sets last.
     So a group of n near copies costs 2 * BANDS * n comparisons at most, and no bucket is
-    skipped or cut for its size.
-
-    Texts without words, null ones included, and rows with a null id are classes of their
-    own; rows that share an id are one document; an empty table gives an empty result;
-    other columns are not read.
+    skipped or cut for its size. What a join meets is a written table, never an aggregate,
+    so that a key with a third of all rows is split over tasks.
+
+    A class keeps the rows of its least doc_id and, of that id's texts, the one whose MD5 is
+    least. Nodes are texts, not ids: rows that share an id but not the text are judged apart
+    (their classes may then bear the same id; `text_md5` tells them apart). Null ids come
+    after all others; a class of nothing else has a null id. Texts without words, null ones
+    included, are classes of their own; an empty table gives an empty result; other columns
+    are not read.
     """
     ship(docs.sparkSession)
     signed = materialize(signatures(docs, id_col, text_col), "op9-signatures")
-    nodes = signed.filter(F.col("doc_id").isNotNull() & (F.size("bands") > 0)).groupBy("fp").agg(F.min(F.struct("doc_id", "bands", "sign")).alias("r"))
-    nodes = materialize(nodes.select("fp", F.col("r.doc_id").alias("node"), "r.bands", "r.sign"), "op9-nodes")
+    nodes = signed.filter(F.size("bands") > 0).groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.first(F.struct("bands", "sign")).alias("r"))
+    nodes = materialize(nodes.select(F.monotonically_increasing_id().alias("node"), "fp", "first_id", "r.bands", "r.sign"), "op9-nodes")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
-    crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    crowded = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "op9-crowded")
     buckets = materialize(keyed.join(crowded, "key"), "op9-buckets")
     crowd = buckets.groupBy("node").agg(F.sum("n").alias("crowd"))
-    signs = materialize(nodes.groupBy("node").agg(F.min(F.struct("sign", "bands")).alias("r")).select("node", "r.sign", "r.bands").join(crowd, "node"), "op9-signs")
+    signs = materialize(nodes.select("node", "sign", "bands").join(crowd, "node"), "op9-signs")
     ranked = buckets.join(signs.select("node", "crowd"), "node")
     leaders = ranked.groupBy("key").agg(
         F.max(F.struct("crowd", F.negative("node").alias("node"))).alias("c"), F.min(F.struct(F.xxhash64("key", "node").alias("h"), "node")).alias("h")
     ).select("key", (-F.col("c.node")).alias("l1"), F.col("h.node").alias("l2"))
+    leaders = materialize(leaders, "op9-leaders")
     led = buckets.join(leaders, "key").select("node", F.explode(F.array("l1", "l2")).alias("leader")).filter("node != leader")
     pairs = led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    edges = materialize(verify(materialize(likely(pairs, signs), "op9-pairs"), docs, similarity, id_col, text_col), "op9-edges")
+    pairs = materialize(likely(materialize(pairs, "op9-led"), signs), "op9-pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts_of = nodes.select("node", "fp", "first_id")
+    sets = materialize(shingle_sets(docs, materialize(texts_of.join(wanted, "node", "left_semi"), "op9-wanted"), id_col, text_col), "op9-sets")
+    edges = materialize(verify(pairs, sets, similarity), "op9-edges")
     labels = materialize(components(edges), "op9-labels")
+    discard(crowded, leaders, edges, pairs)
 
     named = _relabel(buckets, labels)
     sizes = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     split = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("members")).filter("parts > 1")
     blocks = [F.ceil(c / BLOCK_MEMBERS).cast("int") for c in (F.col("members"), F.col("members") - F.col("main.n"))]
-    split = split.select("key", F.col("main.label").alias("main"), blocks[0].alias("blocks"), blocks[1].alias("turns"))
+    split = materialize(split.select("key", F.col("main.label").alias("main"), blocks[0].alias("blocks"), blocks[1].alias("turns")), "op9-split")
     open_ = materialize(named.join(split, "key").withColumn("apart", F.col("label") != F.col("main")), "op9-open")
+    more = texts_of.join(open_.select("node").distinct(), "node", "left_semi").join(sets.select("node"), "node", "left_anti")
+    further = materialize(shingle_sets(docs, materialize(more, "op9-wanted"), id_col, text_col), "op9-sets")
     place = [F.pmod(F.xxhash64("node"), F.col(c)).cast("int") for c in ("blocks", "turns")]
     every = [F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("blocks", "turns")]
     members = open_.select("key", "node", "label", "apart", F.lit(True).alias("own"), place[0].alias("block"), every[1].alias("turn"))
     asked = open_.filter("apart").select("key", "node", "label", "apart", F.lit(False).alias("own"), every[0].alias("block"), place[1].alias("turn"))
-    held = members.unionByName(asked).join(signs.select("node", "sign", "bands"), "node").join(shingle_sets(docs, open_.select("node"), id_col, text_col), "node")
+    held = members.unionByName(asked).join(signs.select("node", "sign", "bands"), "node").join(sets.union(further), "node")
     rest = materialize(held.groupBy("key", "block", "turn").applyInArrow(_compare_block(similarity), "a long, b long").distinct(), "op9-rest")
     if rest.limit(1).count():
-        more = materialize(verify(rest, docs, similarity, id_col, text_col), "op9-more")
-        if more.limit(1).count():
-            stars = labels.filter("node != label").select(F.col("node").alias("a"), F.col("label").alias("b"))
-            labels = materialize(components(stars.union(more)), "op9-labels")
-    named = nodes.select("fp", "node").join(labels.select(F.col("node").alias("_n"), "label"), F.col("node") == F.col("_n"), "left").select("fp", F.coalesce("label", "node").alias("label"))
-    rows = signed.select("doc_id", "fp", (F.size("bands") > 0).alias("_worded"))
-    out = rows.join(named.select(F.col("fp").alias("_fp"), "label"), F.col("_worded") & (F.col("fp") == F.col("_fp")), "left")
-    return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("class_id")).withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("class_id")))
+        stars = labels.filter("node != label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labels = materialize(components(stars.union(rest)), "op9-labels")
+    discard(buckets, signs, split, open_, sets, further, rest)
+    return _classes(signed, nodes, labels)
+
+
+def _classes(signed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every row with its class, from the nodes' components."""
+    linked = materialize(nodes.select("node", "fp", "first_id").join(labels, "node"), "op9-linked")
+    first = linked.groupBy("label").agg(F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "fp")).alias("r"))
+    first = materialize(first.select("label", F.col("r.first_id").alias("class_id"), F.col("r.fp").alias("class_fp")), "op9-first")
+    of_text = linked.join(first, "label").select(F.col("fp").alias("_fp"), "class_id", "class_fp")
+    alone = nodes.join(labels, "node", "left_anti").select(F.col("fp").alias("_fp"), F.col("first_id").alias("class_id"), F.col("fp").alias("class_fp"))
+    of_text = materialize(of_text.union(alone), "op9-classes")
+    worded = signed.filter(F.size("bands") > 0).select("doc_id", "fp").join(of_text, F.col("fp") == F.col("_fp"))
+    kept = (F.col("fp") == F.col("class_fp")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    rows = worded.select("doc_id", "class_id", kept.alias("kept"), F.col("fp").alias("text_md5"))
+    return rows.union(signed.filter(F.size("bands") == 0).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"), F.col("fp").alias("text_md5")))
