@@ -59,45 +59,64 @@ class CapacityTree:
         return found
 
 
-def best_fit_decreasing(sizes: Iterable[tuple[object, int]], capacity: int) -> tuple[dict[object, int], list[int]]:
-    """Pack indivisible items, largest first, each into the tightest bin that holds it.
+#: Where the items of one size go: (bin, how many), in the order in which bins took them.
+Runs = list[tuple[int, int]]
 
-    Returns the bin of each item and what each bin holds. Ties go by item and bin number,
-    so the result is a function of the items alone. An item above `capacity` is an error.
+
+def best_fit_decreasing(counts: Iterable[tuple[int, int]], capacity: int, most: int | None = None) -> tuple[list[tuple[int, Runs]], list[int]] | None:
+    """Pack indivisible items, given as (size, number), largest first, each into the tightest bin that holds it.
+
+    A bin that took an item is still the tightest that holds another of that size, if it
+    holds one at all; so it takes as many as it can at once, and the work is by distinct
+    size. Returns the runs of each size and what each bin holds. Ties go by bin number, so
+    the result is a function of the sizes alone. None if more than `most` bins are needed;
+    an item above `capacity` is an error.
     """
-    tree, loads, where = CapacityTree(), [], {}
-    for item, size in sorted(sizes, key=lambda x: (-x[1], x[0])):
+    tree, loads, where = CapacityTree(), [], []
+    for size, left in sorted(counts, reverse=True):
         if size > capacity:
-            raise ValueError(f"item {item!r} of size {size} exceeds the capacity {capacity}")
-        found = tree.take(size)
-        if found is None:
-            found = (capacity, len(loads))
-            loads.append(0)
-        where[item] = found[1]
-        loads[found[1]] += size
-        tree.add(found[0] - size, found[1])
+            raise ValueError(f"an item of size {size} exceeds the capacity {capacity}")
+        runs: Runs = []
+        while left:
+            found = tree.take(size)
+            if found is None:
+                if len(loads) == most:
+                    return None
+                found = (capacity, len(loads))
+                loads.append(0)
+            room, which = found
+            n = min(left, room // size)
+            runs.append((which, n))
+            loads[which] += n * size
+            left -= n
+            tree.add(room - n * size, which)
+        where.append((size, runs))
     return where, loads
 
 
-def near_equal(sizes: list[tuple[object, int]], bins: int) -> dict[object, int]:
-    """Best-fit-decreasing at the least capacity that needs no more than `bins` bins.
+def near_equal(counts: Iterable[tuple[int, int]], bins: int) -> list[tuple[int, Runs]]:
+    """Best-fit-decreasing of (size, number) at the least capacity found that needs no more than `bins` bins.
 
     An item above the fair share gets a bin of its own, and the fair share of the other
     bins is worked out without it; then the capacity rises from the fair share in small
     relative steps until everything fits.
     """
-    left, alone = sorted(sizes, key=lambda x: (-x[1], x[0])), {}
-    total = sum(s for _, s in left)
-    while left and bins - len(alone) > 1 and left[0][1] * (bins - len(alone)) > total:
-        item, size = left.pop(0)
-        alone[item] = len(alone)
-        total -= size
-    rest = bins - len(alone)
-    if not left:
-        return alone
-    fair, step = max(-(-total // rest), left[0][1]), 0.0
-    while True:
-        where, loads = best_fit_decreasing(left, int(fair * (1 + step)) + (step > 0))
-        if len(loads) <= rest:
-            return alone | {item: len(alone) + b for item, b in where.items()}
-        step = step * 1.5 if step else 1 / 65536
+    left = [[s, n] for s, n in sorted(counts, reverse=True) if n]
+    total, alone = sum(s * n for s, n in left), []
+    while left and bins - len(alone) > 1 and left[0][0] * (bins - len(alone)) > total:
+        alone.append(left[0][0])
+        total -= left[0][0]
+        left[0][1] -= 1
+        if not left[0][1]:
+            left.pop(0)
+    out: dict[int, Runs] = {}
+    for k, size in enumerate(alone):
+        out.setdefault(size, []).append((k, 1))
+    if left:
+        rest = bins - len(alone)
+        fair, step = max(-(-total // rest), left[0][0]), 0.0
+        while (found := best_fit_decreasing(map(tuple, left), int(fair * (1 + step)) + (step > 0), rest)) is None:
+            step = step * 1.5 if step else 1 / 65536
+        for size, runs in found[0]:
+            out.setdefault(size, []).extend((len(alone) + b, n) for b, n in runs)
+    return sorted(out.items(), reverse=True)

@@ -140,17 +140,16 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
 
 
 def evolve(counts: dict[int, int], capacity: int, population: list[Solution], generations: int, seed: int, size: int = 8, bound: int | None = None) -> list[Solution]:
-    """An island's epoch; ends early once a solution meets `bound`, which nothing can beat."""
+    """An island's epoch: one generation at least, and no more once a solution meets `bound`, which nothing can beat."""
     rng = random.Random(seed)
     goal = lower_bound(counts, capacity) if bound is None else bound
     people = list(population) or [best_fit(counts, capacity)]
     rank = lambda s: fitness(s, capacity)
-    if bins(max(people, key=rank)) > goal:
-        while len(people) < size:
-            people.append(mutate(people[0], capacity, rng))
-    for _ in range(generations):
+    while len(people) < size:
+        people.append(mutate(people[0], capacity, rng))
+    for age in range(generations):
         people.sort(key=rank, reverse=True)
-        if bins(people[0]) <= goal:
+        if age and bins(people[0]) <= goal:
             break
         children = []
         for _ in range(size // 2):

@@ -54,14 +54,15 @@ def token_pieces(docs: DataFrame, json_path: str, ranks_path: str | None = None,
     return read.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _island(counts: dict[int, int], capacity: int, bound: int, generations: int, epoch: int):
-    """One epoch on one island: its population goes in and comes out as rows."""
+def _epoch(shared, counts: dict[int, int], capacity: int, bound: int, generations: int, epoch: int):
+    """One epoch of the island that a task's one row names: its population comes out as rows."""
 
-    def run(people: pd.DataFrame) -> pd.DataFrame:
-        island = int(people["island"].iloc[0])
-        started = [load(s) for s in people["solution"] if s]
-        out = evolve(counts, capacity, started, generations, seed=epoch * 1009 + island, bound=bound)
-        return pd.DataFrame({"island": [island] * len(out), "rank": range(len(out)), "solution": [dump(s) for s in out]})
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for island in rows["id"].tolist():
+                started = [load(s) for s in shared.value[island]]
+                out = evolve(counts, capacity, started, generations, seed=epoch * 1009 + island, bound=bound)
+                yield pd.DataFrame({"island": [island] * len(out), "rank": range(len(out)), "solution": [dump(s) for s in out]})
 
     return run
 
@@ -69,24 +70,26 @@ def _island(counts: dict[int, int], capacity: int, bound: int, generations: int,
 def pack_histogram(spark: SparkSession, counts: dict[int, int], capacity: int = CAPACITY, islands: int = ISLANDS, epochs: int = EPOCHS, generations: int = GENERATIONS) -> Solution:
     """The best packing of a histogram of sizes (at most `capacity` entries).
 
-    Each island is a task with its own population; after an epoch every island's elite moves
-    to the next one. A solution at the lower bound ends the search. What passes through the
-    driver is a few populations, whose size depends on `capacity` alone.
+    Each island is a task of its own with its own population; after an epoch every island's
+    elite moves to the next one. All islands live through one epoch at least; then a solution
+    at the lower bound ends the search. What passes through the driver is a few populations,
+    whose size depends on `capacity` alone.
     """
     if not counts:
         return {}
     ship(spark)
     bound = lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
-    people = [(i, 0, dump(best)) for i in range(islands)]
+    people = [[dump(best)] for _ in range(islands)]
     for epoch in range(epochs):
-        if bins(best) <= bound:
-            break
-        rows = spark.createDataFrame(people, "island int, rank int, solution string").repartition(islands, "island")
-        found = rows.groupBy("island").applyInPandas(_island(counts, capacity, bound, generations, epoch), "island int, rank int, solution string").collect()
+        shared = spark.sparkContext.broadcast(people)
+        found = spark.range(0, islands, 1, islands).mapInPandas(_epoch(shared, counts, capacity, bound, generations, epoch), "island int, rank int, solution string").collect()
+        shared.destroy()
         elite = {r["island"]: load(r["solution"]) for r in found if r["rank"] == 0}
         best = max([best, *elite.values()], key=lambda s: fitness(s, capacity))
-        people = [(r["island"], r["rank"], r["solution"]) for r in found] + [((i + 1) % islands, -1, dump(s)) for i, s in elite.items()]
+        if bins(best) <= bound:
+            break
+        people = [[r["solution"] for r in found if r["island"] == i] + [dump(elite[(i - 1) % islands])] for i in range(islands)]
     return best
 
 
@@ -110,15 +113,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, **search: int) -> DataFram
 
     A full piece is a sequence of its own; the others go where the packing of their
     histogram puts the k-th piece of a length, k being its gapless rank. `pieces` is read
-    more than once: pass a materialized table.
+    more than once: pass a materialized table with a unique number `_row` for each row.
     """
     spark = pieces.sparkSession
     ship(spark)
     sizes = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
-    rows = sum(sizes.values())
     solution = pack_histogram(spark, {s: n for s, n in sizes.items() if s < capacity}, capacity, **search)
     shared = spark.sparkContext.broadcast((_slots(solution), bins(solution)))
-    ranked = gapless_rank(pieces, ["length"], ["doc_id", "piece", "ids_crc32"], "_rank", rows)
+    ranked = gapless_rank(pieces, ["length"], ["doc_id", "piece", "ids_crc32", "_row"], "_rank")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (key, first, copies, at), used = shared.value
@@ -133,10 +135,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, **search: int) -> DataFram
                 into = want - key[run_]
                 where[part] = first[run_] + into // copies[run_]
                 offset[part] = at[run_] + into % copies[run_] * size[part]
-            names = [n for n in b.schema.names if n != "_rank"]
+            names = [n for n in b.schema.names if n not in ("_rank", "_row")]
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(where, pa.int64()), pa.array(offset, pa.int64())], [*names, "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != "_rank")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name not in ("_rank", "_row"))
     return ranked.mapInArrow(run, f"{schema}, sequence_id long, offset long")
 
 
@@ -146,5 +148,6 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = Non
     Null and empty texts are one piece of the end id alone; repeated rows and ids are packed
     like others; an empty table gives an empty result; other columns are not read.
     """
-    pieces = materialize(token_pieces(docs, json_path, ranks_path, pattern, capacity), "op3-pieces")
+    pieces = token_pieces(docs, json_path, ranks_path, pattern, capacity)
+    pieces = materialize(pieces.withColumn("_row", F.monotonically_increasing_id()), "op3-pieces")
     return pack(pieces, capacity, **search)

@@ -2,34 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.runtime import materialize
+
 #: Rows one window partition holds on average.
 ROWS_PER_BLOCK = 1 << 12
 
 
-def gapless_rank(df: DataFrame, keys: list[str], order: list[str], out: str, rows: int) -> DataFrame:
-    """Number the rows of each key from 0 without gaps.
+def gapless_rank(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
+    """Number the rows of each key (none null) from 0 without gaps.
 
-    Each key's rows are salted over blocks by a hash of `order`, numbered within a block,
-    and shifted by the rows of the blocks before it, so a key with a third of all rows
-    takes as many tasks as it has blocks. `df` is read twice: pass a materialized table.
-    The offsets have one row for each key and block; Spark picks the join.
+    A key's rows are salted by a hash of `order` over as many blocks as their number asks
+    for, numbered within a block, and shifted by the rows of the blocks before it. So a key
+    with a third of all rows takes as many tasks as it has blocks, and the offsets have a
+    row for each key and each further ROWS_PER_BLOCK rows. `order` must tell all rows apart,
+    else repeats of one row share a block. `df` is read three times: pass a materialized table.
     """
-    blocks = max(1, -(-rows // ROWS_PER_BLOCK))
-    salted = df.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("int"))
-    counts = salted.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_rows"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    blocks = materialize(counts.select(*keys, F.ceil(F.col("_rows") / ROWS_PER_BLOCK).alias("_blocks")), "rank-blocks")
+    salted = df.join(blocks, keys).withColumn("_block", F.pmod(F.xxhash64(*order), F.col("_blocks"))).drop("_blocks")
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        *(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_block").alias("_b"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
-    )
+    starts = salted.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_rows")).select(*keys, "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     within = Window.partitionBy(*keys, "_block").orderBy(*order)
-    ranked = salted.withColumn("_in_block", F.row_number().over(within) - 1)
-    match: Column = F.col("_block") == F.col("_b")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = ranked.join(starts, match, "left")
-    return joined.withColumn(out, (F.col("_start") + F.col("_in_block")).cast("long")).drop(
-        "_block", "_b", "_start", "_in_block", *(f"_k_{k}" for k in keys)
-    )
+    ranked = salted.withColumn("_in_block", F.row_number().over(within) - 1).join(materialize(starts, "rank-starts"), [*keys, "_block"])
+    return ranked.withColumn(out, (F.col("_start") + F.col("_in_block")).cast("long")).drop("_block", "_start", "_in_block")

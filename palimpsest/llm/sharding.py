@@ -7,50 +7,49 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.bestfit import near_equal
 from palimpsest.llm.placement import gapless_rank
-from palimpsest.runtime import materialize
+from palimpsest.runtime import discard, materialize
 
-#: Items per shard that the packing sees at most, twice over (large groups, bundles).
-GRAIN = 512
 
-
-def shard_documents(docs: DataFrame, n_shards: int = 8, grain: int = GRAIN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Place every row in one of `n_shards` shards of near-equal bytes.
 
-    A row's size is its text's UTF-8 bytes plus 1. Rows of equal text are one indivisible
-    group. A group of at least total / (n_shards * grain) bytes is packed as itself; there
-    are at most n_shards * grain of them. Smaller groups are bundled by hash into as many
-    bundles. So the driver packs at most 2 * n_shards * grain items, whatever the input
-    size, and a bundle is never larger than a few grains. Only sizes, hashes and ids are
-    shuffled.
+    A row's size is its text's UTF-8 bytes plus 1. Rows of equal text (64-bit hash) are one
+    indivisible group. Best-fit-decreasing asks for the groups' sizes alone, so the driver
+    packs their histogram: groups of one size are alike, and which of them goes where follows
+    from their gapless rank. Of T bytes there are at most sqrt(2 T) distinct sizes, as they
+    add up to no more than T. Only sizes that more than one shard took are ranked. Only
+    sizes, hashes and ids are shuffled; a group with a third of all rows is a plain side of
+    its join, which Spark splits.
 
     Null texts count as empty; rows with a null or repeated id are placed like any other;
     an empty table gives an empty result; further columns are not read.
     Returns id, size, text_crc32, law, shard, slot (gapless from 0), grown_shard (null).
     """
+    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    n_items = n_shards * grain
     sized = materialize(
         docs.select(
-            F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("_group")
+            F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("_group"), F.monotonically_increasing_id().alias("_row")
         ),
         "op10-sized",
     )
-    groups = sized.groupBy("_group").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
-    groups = materialize(groups.withColumn("_bundle", F.pmod("_group", F.lit(n_items)).cast("int")), "op10-groups")
-    total, rows = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    least = max(1, total // n_items)
-    large = [(("g", r[0]), r[1]) for r in groups.filter(F.col("bytes") > least).select("_group", "bytes").collect()]
-    small = [(("b", r[0]), r[1]) for r in groups.filter(F.col("bytes") <= least).groupBy("_bundle").agg(F.sum("bytes")).collect()]
-    where = near_equal(large + small, n_shards)
-    spark = docs.sparkSession
-    by_group = spark.createDataFrame([(k[1], s) for k, s in where.items() if k[0] == "g"], "_g long, _shard_g int")
-    by_bundle = spark.createDataFrame([(k[1], s) for k, s in where.items() if k[0] == "b"], "_b int, _shard_b int")
-    placed = (
-        sized.withColumn("_bundle", F.pmod("_group", F.lit(n_items)).cast("int"))
-        .join(F.broadcast(by_group), F.col("_group") == F.col("_g"), "left")
-        .join(F.broadcast(by_bundle), F.col("_bundle") == F.col("_b"), "left")
-        .select("doc_id", "size", "text_crc32", F.coalesce("_shard_g", "_shard_b").alias("shard"))
-    )
-    placed = materialize(placed, "op10-placed")
-    ranked = gapless_rank(placed, ["shard"], ["doc_id", "text_crc32", "size"], "slot", rows)
-    return ranked.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    groups = materialize(sized.groupBy("_group").agg(F.sum("size").alias("bytes")), "op10-groups")
+    histogram = groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    plan = near_equal(zip(histogram.column("bytes").to_pylist(), histogram.column("n").to_pylist()), n_shards)
+    rows = []
+    for size, runs in plan:
+        upto, edges = 0, []
+        for _, n in runs:
+            upto += n
+            edges.append(upto)
+        rows.append((size, edges, [b for b, _ in runs]))
+    planned = materialize(spark.createDataFrame(rows, "bytes long, edges array<long>, shards array<int>"), "op10-plan")
+    whole = groups.join(planned.filter(F.size("shards") == 1), "bytes").select("_group", F.col("shards")[0].alias("shard"))
+    divided = materialize(groups.join(planned.filter(F.size("shards") > 1), "bytes"), "op10-divided")
+    ranked = gapless_rank(divided, ["bytes"], ["_group"], "_rank")
+    parted = ranked.select("_group", F.get("shards", F.size(F.filter("edges", lambda e: e <= F.col("_rank")))).alias("shard"))
+    where = materialize(whole.union(parted), "op10-where")
+    placed = materialize(sized.join(where, "_group").select("doc_id", "size", "text_crc32", "_row", "shard"), "op10-placed")
+    discard(sized, groups, planned, divided, where)
+    slotted = gapless_rank(placed, ["shard"], ["doc_id", "text_crc32", "size", "_row"], "slot")
+    return slotted.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
