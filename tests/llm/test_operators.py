@@ -198,6 +198,31 @@ def test_contamination(spark, docs, none, rows, limit):
     assert contamination.find_contamination(docs, benchmark.filter("false"), ["doc_id"]).filter("n_hit > 0").count() == 0
 
 
+def test_two_benchmarks_in_one_worker(spark):
+    """Tables of an earlier benchmark are never searched again, whatever object held them."""
+    texts = spark.createDataFrame([(k, " ".join(f"t{k}x{j}" for j in range(30))) for k in range(6)], "doc_id long, text string").coalesce(1)
+    for k in [0, 1, 2, 3, 4, 5, 0, 3]:
+        own = spark.createDataFrame([(k, " ".join(f"t{k}x{j}" for j in range(14)))], "item_id long, text string")
+        assert [r["doc_id"] for r in contamination.find_contamination(texts, own, ["doc_id"]).filter("n_hit > 0").collect()] == [k]
+
+
+def test_long_items_in_several_passes(spark, monkeypatch):
+    monkeypatch.setattr(contamination, "CHUNK_WINDOWS", 5)
+    words = [f"q{j}" for j in range(60)]
+    benchmark = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:12])), (3, " ".join(words[40:53]))], "item_id long, text string")
+    runs = [(a, b) for a in range(0, 60, 7) for b in (a + 12, a + 13, a + 20) if b <= 60]
+    docs = spark.createDataFrame([(k, "x " + " ".join(words[a:b]) + " y z") for k, (a, b) in enumerate(runs)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in contamination.find_contamination(docs, benchmark, ["doc_id"], pass_bytes=120).collect()}
+    for k, (a, b) in enumerate(runs):
+        hit, names = set(), set()
+        for item, lo, hi, width in ((1, 0, 60, 13), (2, 0, 12, 12), (3, 40, 53, 13)):
+            for s in range(lo, hi - width + 1):
+                if a <= s and s + width <= b:
+                    hit |= set(range(s, s + width))
+                    names.add(str(item))
+        assert (got[k]["n_hit"], got[k]["item_ids"], got[k]["longest_hit"]) == (len(hit), sorted(names), len(hit))
+
+
 def test_licenses(spark, docs, none):
     files = spark.createDataFrame(
         [(1, "a/LICENSE", "words. Released under the MIT License. words"), (2, "a/b/c.txt", None), (3, "a/b/COPYING.txt", "licensed under the apache license, version 2.0"), (4, "x/y", ""), (5, None, "Licensed under CC BY-NC 4.0."), (6, "top", "prose about a license"), (7, "a/b/d/e.txt", "Released under the BSD 3-Clause License.")],
@@ -207,6 +232,74 @@ def test_licenses(spark, docs, none):
     assert got == {1: ("MIT", "MIT", None), 2: (None, "Apache-2.0", "a/b"), 3: ("Apache-2.0", "Apache-2.0", None), 4: (None, None, None), 5: ("CC-BY-NC-4.0", "CC-BY-NC-4.0", None), 6: (None, None, None), 7: ("BSD-3-Clause", "BSD-3-Clause", None)}
     assert licenses.scan_licenses(files.filter("false")).count() == 0
     assert queries.op8_license_tfidf(spark, SF).count() == 200
+    # Repeated rows, null ids and clashing columns.
+    got = licenses.scan_licenses(docs.withColumn("path", F.concat(F.lit("p/"), "doc_id")), path_col="path").collect()
+    assert len(got) == docs.count() and {r["doc_id"] for r in got if r["own_license"]} == {13}
+
+
+def as_comment(text, mark="# ", width=9):
+    words = text.split()
+    return "\n".join(mark + " ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+
+def test_real_licences(spark):
+    """Licence files, notices and tags as they stand in repositories, among code and prose."""
+    from palimpsest.llm import license_texts as t
+
+    code = "\n\nimport os\n\ndef main(argv):\n    return os.path.join(*argv)  # the rest of the file\n" * 20
+    gpl = "This file is part of Foo.\n\nFoo is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n\nFoo is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.\n\nYou should have received a copy of the GNU General Public License along with Foo.  If not, see <https://www.gnu.org/licenses/>."
+    cases = [
+        ("MIT", "MIT License\n\nCopyright (c) 2019 Jane Doe\n\n" + t._MIT), ("MIT", as_comment(t._MIT, " * ") + code), ("MIT", "// SPDX-License-Identifier: MIT" + code),
+        ("Apache-2.0", "Copyright 2021 The Authors\n\n" + as_comment(t._APACHE_NOTICE) + code), ("Apache-2.0", t._APACHE_HEAD + " " + code * 5),
+        ("BSD-3-Clause", "Copyright (c) 2001, Someone\nAll rights reserved.\n\n" + t._BSD_HEAD + t._BSD_THIRD + t._BSD_TAIL), ("BSD-2-Clause", as_comment(t._BSD_HEAD + t._BSD_TAIL)),
+        ("GPL-3.0-or-later", as_comment(gpl) + code), ("GPL-3.0-or-later", gpl.replace("either version 3", "either version 3")), ("GPL-2.0-or-later", as_comment(gpl.replace("version 3", "version 2"), "; ")),
+        ("GPL-3.0-only", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nCopyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\nEveryone is permitted to copy and distribute verbatim copies\nof this license document, but changing it is not allowed.\n\nPreamble\n\n" + code),
+        ("GPL-2.0-only", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\nCopyright (C) 1989, 1991 Free Software Foundation, Inc.,\n51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA\nEveryone is permitted to copy and distribute verbatim copies\nof this license document, but changing it is not allowed." + code),
+        ("LGPL-2.1-only", "# SPDX-License-Identifier: LGPL-2.1-only" + code), ("MPL-2.0", as_comment(t._MPL_NOTICE) + code), ("ISC", "Copyright (c) 2010, A B <a@b.org>\n\n" + t._ISC), ("Unlicense", t._UNLICENSE + code), ("Zlib", as_comment(t._ZLIB)),
+        (None, "# SPDX-License-Identifier: Foo-1.0" + code), (None, code), (None, "A licence is a document. The software is provided to us as a gift, under the terms of our friends." + code),
+        (None, "Permission is hereby granted to park here." + code),
+    ]
+    files = spark.createDataFrame([(k, f"f{k}", text) for k, (_, text) in enumerate(cases)], "doc_id long, path string, text string")
+    # Among a corpus in which licences are rare, as their terms then weigh most.
+    others = spark.read.parquet(f"{SF}/documents.parquet").select((F.col("doc_id") + 1000).alias("doc_id"), F.lit("x").alias("path"), "text")
+    got = {r["doc_id"]: r["own_license"] for r in licenses.scan(files.union(others)).collect()}
+    assert [(k, got[k]) for k in range(len(cases))] == [(k, name) for k, (name, _) in enumerate(cases)]
+
+
+def test_licences_against_all_windows(spark):
+    """Cosines by brute force over every window of every text."""
+    import math
+
+    table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.lit("x").alias("path"), "text").orderBy("doc_id").limit(80)
+    held = [(r["doc_id"], r["text"]) for r in table.collect()] + [(900, "so licensed under the gnu lesser public license version 3 of the gnu"), (901, "mit the mit"), (902, "")]
+    files = spark.createDataFrame([(i, "x", t) for i, t in held], "doc_id long, path string, text string")
+    templates = [x for x in licenses.TEMPLATES if len(x[1]) < 120 or x[0] == "ISC"]
+    terms = {w for _, t, keys in templates for w in licenses.tokens(t + " " + keys)}
+    df = collections.Counter(w for _, t in held for w in set(licenses.tokens(t or "")) & terms)
+    idf = lambda w: math.log((1 + len(held)) / (1 + df[w])) + 1
+
+    def vector(counts):
+        return {w: n * idf(w) for w, n in counts.items() if n}
+
+    want = {}
+    for i, t in held:
+        words, best = licenses.tokens(t or ""), (None, 0.0)
+        for name, text, keys in templates:
+            own, keys = vector(collections.Counter(licenses.tokens(text))), set(licenses.tokens(keys))
+            size = min(len(licenses.tokens(text)), len(words))
+            window = collections.Counter(words[:size])
+            for s in range(len(words) - size + 1 if words else 0):
+                if s:
+                    window[words[s - 1]] -= 1
+                    window[words[s + size - 1]] += 1
+                if all(window[w] > 0 for w in keys) and any(window[w] > 0 for w in own):
+                    other = vector(window)
+                    c = sum(v * other.get(w, 0) for w, v in own.items()) / math.sqrt(sum(v * v for v in own.values()) * sum(v * v for v in other.values()))
+                    if c >= licenses.SIMILARITY and c > best[1] + 1e-9:
+                        best = (name, c)
+        want[i] = (best[0], round(best[1], 6))
+    got = {r["doc_id"]: (r["own_license"], round(r["score"], 6)) for r in licenses.scan(files, templates).collect()}
+    assert got == want and sum(name is not None for name, _ in want.values()) > 1
 
 
 def classes(texts):
@@ -226,7 +319,7 @@ def classes(texts):
     for k, (s, _) in enumerate(sets):
         for x in s.tolist():
             where[x].add(k)
-    for a, b in {(min(a, b), max(a, b)) for held in where.values() if len(held) < 300 for a in held for b in held if a != b}:
+    for a, b in {(min(a, b), max(a, b)) for held in where.values() for a in held for b in held if a != b}:
         if neardup.probability_jaccard(sets[a], sets[b]) >= 0.8 - 1e-9:
             x, y = find(ids[a]), find(ids[b])
             root[max(x, y)] = min(x, y)
@@ -238,7 +331,9 @@ def test_near_duplicates(spark, docs, none, rows):
     assert len(got) == len(rows) and neardup.near_duplicates(none).count() == 0
     one = {r["doc_id"]: r["class_id"] for r in got if r["doc_id"] is not None}
     assert one == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 6, 8: 6, 9: 9, 10: 10, 11: 10, 12: 12, 13: 13, 14: 14}
-    assert all(r["class_id"] is None and r["kept"] for r in got if r["doc_id"] is None)
+    assert sorted((r["class_id"], r["kept"]) for r in got if r["doc_id"] is None and r["class_id"]) == [(9, False)]
+    assert [r["kept"] for r in got if r["doc_id"] is None and r["class_id"] is None] == [True]
+    assert sum(r["kept"] for r in got) == 11
     table = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = {r["doc_id"]: r["class_id"] for r in queries.op9_prob_min_hash(spark, SF).collect()}
     assert got == classes(table)
