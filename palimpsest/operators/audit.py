@@ -61,6 +61,16 @@ def conservation(source: DataFrame, rows: DataFrame) -> DataFrame:
     return both.select(F.coalesce("doc_id", "_d").alias("doc_id"), F.coalesce("n_in", F.lit(0)).alias("n_in"), F.coalesce("n_out", F.lit(0)).alias("n_out")).filter("n_in != n_out")
 
 
+def shards_on_disk(manifest: DataFrame, held: DataFrame) -> DataFrame:
+    """(shard_index, problem): shards that only the manifest or only the disk has, or with other rows than it says.
+
+    `held` is what `corpus.list_shards` gives: shard_index, n_rows.
+    """
+    both = manifest.select(F.col("shard_index").alias("_m"), F.col("n_rows").alias("_rows")).join(held, F.col("_m") == F.col("shard_index"), "full_outer")
+    problem = F.when(F.col("shard_index").isNull(), "not on disk").when(F.col("_m").isNull(), "not in the manifest").when(F.col("n_rows") != F.col("_rows"), "other rows")
+    return both.select(F.coalesce("_m", "shard_index").alias("shard_index"), problem.alias("problem")).filter("problem is not null")
+
+
 def pending_shards(manifest: DataFrame, stats: DataFrame, fingerprint: str) -> DataFrame:
     """Shards still to do: without a record of the same fingerprint. Prune before loading a model."""
     return manifest.join(stats.filter(F.col("input_fingerprint") == fingerprint).select("shard_index"), "shard_index", "left_anti")
@@ -88,6 +98,64 @@ def first_shards(manifest: DataFrame, n: int) -> DataFrame:
     return manifest.orderBy("shard_index").limit(n)
 
 
+def job_listing(spark, table) -> DataFrame:
+    """One row for each job: n, job_id, mode, trim, drop_threshold, derived (from the limits), prompts."""
+    limits = table.limits
+    rows = [
+        (n, f"{a.name}__{p.name}", p.mode, p.trim, p.input_drop or limits.max_model_len - limits.max_tokens, p.input_drop is None, len(p.styles) or 1)
+        for n, (a, p) in enumerate(table.jobs(), 1)
+    ]
+    return spark.createDataFrame(rows, "n int, job_id string, mode string, trim string, drop_threshold int, derived boolean, prompts int")
+
+
+def monitor(rows: DataFrame, per: int = 1000, seed: int = 7) -> DataFrame:
+    """Flags of about one row in `per`, by a keyed digest: openings of a list or heading, repeated lines, under 20 words."""
+    drawn = rows.filter(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(per)) == 0)
+    words, lines = F.size(F.split(F.trim("rewritten_text"), r"\s+")), F.filter(F.split("rewritten_text", "\n"), lambda x: F.trim(x) != "")
+    return drawn.select(
+        "doc_id",
+        F.regexp_like("rewritten_text", F.lit(r"^\s*([-*#]|[0-9]+[.)])")).alias("odd_format"),
+        (F.size(lines) > F.size(F.array_distinct(lines))).alias("repeats"),
+        (words < 20).alias("short"),
+    )
+
+
+def preflight(spark, table, arms: dict[str, DataFrame], free_bytes: int | None = None) -> DataFrame:
+    """(check, ok, note) before anything is generated: jobs, prompts, sources, and room for the output.
+
+    `arms` holds a source for each arm; an arm without one is a finding.
+    """
+    from palimpsest.operators.estimate import BYTES_PER_ROW, BYTES_PER_TOKEN
+
+    found = []
+
+    def check(name: str, test) -> None:
+        try:
+            note, ok = test() or "", True
+        except ValueError as e:
+            note, ok = str(e), False
+        found.append((name, ok, note))
+
+    check("jobs", lambda: f"{len(table.check().jobs())} jobs over {len(table.arms)} arms")
+    for a in table.arms:
+
+        def source(a=a) -> None:
+            if a.name not in arms:
+                raise SourceError(f"arm {a.name} has no source")
+            check_source(arms[a.name], table.keys)
+
+        check(f"source {a.name}", source)
+    need = sum(int(a.source_tokens or 0) * r * BYTES_PER_TOKEN + int(a.docs or 0) * BYTES_PER_ROW for a in table.arms for r in a.ratios)
+
+    def room() -> str:
+        if free_bytes is not None and need > free_bytes:
+            raise ValueError(f"{need:.0f} bytes of output, {free_bytes} free")
+        return f"{need:.0f} bytes of output"
+
+    check("disk", room)
+    return spark.createDataFrame(found, "check string, ok boolean, note string")
+
+
 class SourceError(ValueError):
     """An input that isn't what a job takes."""
 

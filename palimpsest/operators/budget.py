@@ -19,9 +19,12 @@ def fill_budget(rows: DataFrame, tokens: Column, budget: int, order: list[Column
 
 def budget_report(rows: DataFrame, kept: DataFrame, tokens: Column, score: Column) -> DataFrame:
     """One row: kept rows and tokens, the share kept, and the cutoff score."""
-    every = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(tokens).alias("total_tokens"))
-    some = kept.agg(F.count(F.lit(1)).alias("n_kept"), F.coalesce(F.sum(tokens), F.lit(0)).alias("kept_tokens"), F.min(score).alias("cutoff"))
-    return every.join(some).withColumn("kept_pct", F.when(F.col("total_tokens") > 0, F.col("kept_tokens") * 100.0 / F.col("total_tokens")).otherwise(0.0))
+    sides = rows.select(F.lit(False).alias("_kept"), tokens.alias("_tokens"), score.alias("_score")).unionByName(kept.select(F.lit(True).alias("_kept"), tokens.alias("_tokens"), score.alias("_score")))
+    own = F.col("_kept")
+    both = sides.agg(
+        F.count_if(~own).alias("n_rows"), F.sum(F.when(~own, F.col("_tokens"))).alias("total_tokens"), F.count_if(own).alias("n_kept"), F.coalesce(F.sum(F.when(own, F.col("_tokens"))), F.lit(0)).alias("kept_tokens"), F.min(F.when(own, F.col("_score"))).alias("cutoff")
+    )
+    return both.withColumn("kept_pct", F.when(F.col("total_tokens") > 0, F.col("kept_tokens") * 100.0 / F.col("total_tokens")).otherwise(0.0))
 
 
 def token_prefix(rows: DataFrame, tokens: Column, budgets: list[int], order: list[Column]) -> DataFrame:
@@ -35,6 +38,22 @@ def remainder(rows: DataFrame, core: DataFrame, tokens: Column, budget: int, ord
     return fill_budget(rows.join(core.select("doc_id").distinct(), "doc_id", "left_anti"), tokens, budget, order, keys)
 
 
+def selection_order(kind: str, score: str = "score", other: str | None = None, seed: int = 42) -> list[Column]:
+    """The orders in which a remainder is taken: best quality, greatest disagreement of two scores, or uniform draws.
+
+    A stratified selection is a quality order within `keys`. Ties go by id.
+    """
+    if kind == "quality":
+        return [F.col(score).desc(), F.col("doc_id")]
+    if kind == "disagreement":
+        if other is None:
+            raise ValueError("a disagreement needs two scores")
+        return [F.abs(F.col(score) - F.col(other)).desc(), F.col("doc_id")]
+    if kind == "uniform":
+        return [F.md5(F.concat(F.lit(f"{seed}:"), F.col("doc_id").cast("string"))), F.col("doc_id")]
+    raise ValueError(f"{kind!r} is no selection order")
+
+
 def assemble_passes(first: DataFrame, second: DataFrame, tokens: Column, budget: int, order: list[Column]) -> DataFrame:
     """All status-2 rows of the first pass, topped up from the second in `order`."""
     both = first.withColumn("pass", F.lit(1)).unionByName(second.withColumn("pass", F.lit(2))).filter("status = 2")

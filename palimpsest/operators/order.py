@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palimpsest.runtime import materialize
+from palimpsest.runtime import discard, materialize
 
 #: Rows a range partition holds on average.
 ROWS_PER_RANGE = 1 << 20
@@ -14,11 +14,17 @@ ROWS_PER_RANGE = 1 << 20
 def _ranged(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """`df` in ranges of (keys, order), each row with its range's number, written once.
 
-    The written table fixes the ranges, which sampling would draw anew on recomputation.
+    `df` itself is written first, by as many tasks as it has, so that neither counting nor
+    drawing the ranges works it out again. The second table fixes the ranges, which sampling
+    would draw anew on recomputation; rows of a single range need none.
     """
-    n = max(1, -(-df.count() // ROWS_PER_RANGE))
-    held = df.repartitionByRange(n, *keys, *order) if n > 1 else df.coalesce(1)
-    return materialize(held.withColumn("_range", F.spark_partition_id()), "ranged")
+    rows = materialize(df, "rows")
+    n = max(1, -(-rows.count() // ROWS_PER_RANGE))
+    if n == 1:
+        return rows.withColumn("_range", F.lit(0))
+    held = materialize(rows.repartitionByRange(n, *keys, *order).withColumn("_range", F.spark_partition_id()), "ranged")
+    discard(rows)
+    return held
 
 
 def dense_rank_from_zero(df: DataFrame, order: list[Column], out: str = "ord", keys: list[str] | None = None) -> DataFrame:

@@ -41,12 +41,15 @@ def unknown_styles(styled: DataFrame) -> DataFrame:
 
 
 def content(prompt: PromptSpec, text: Column, style: Column | None = None) -> Column:
-    """The user message: the document in the prompt's place, or behind its style's text."""
+    """The user message: the document in the prompt's place, or behind its style's text.
+
+    A row whose style the prompt doesn't have stops the job with the style's name.
+    """
     if prompt.mode == "grounded":
         return F.replace(F.lit(prompt.text), F.lit(PLACEHOLDER), filled(text))
     if style is None:
         raise ValueError("a styled prompt needs a style for each row")
-    lead = F.lit(None).cast("string")
+    lead = F.raise_error(F.concat(F.lit(f"prompt {prompt.name} has no style "), F.coalesce(style, F.lit("null")))).cast("string")
     for name, words in prompt.styles.items():
         lead = F.when(style == name, F.lit(words)).otherwise(lead)
     return F.concat(lead, filled(text))

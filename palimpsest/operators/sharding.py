@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions.text import text_bytes, text_sha1
@@ -21,9 +22,17 @@ DOC_ID_POLICY = "dataset_doc_id_or_row_index"
 
 
 def ordered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, source_text_sha1, text_bytes and the 0-based scan order; the text itself stays behind."""
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_sha1(F.col(text_col)).alias("source_text_sha1"), text_bytes(F.col(text_col)).alias("text_bytes"))
-    return dense_rank_from_zero(narrow, [F.col("doc_id"), F.col("source_text_sha1")])
+    """doc_id, source_text_sha1, text_bytes and the 0-based order `ord`; the text itself stays behind.
+
+    Documents that have an `ord` of their own, as `corpus.scan_order` gives it, keep it; others
+    are ordered by id and digest. Without an id column the order is the id.
+    """
+    given = "ord" in docs.columns
+    if id_col not in docs.columns and not given:
+        raise ValueError(f"no column {id_col!r}, and no scan order to take its place")
+    id_ = F.col(id_col if id_col in docs.columns else "ord").cast("long").alias("doc_id")
+    narrow = docs.select(id_, text_sha1(F.col(text_col)).alias("source_text_sha1"), text_bytes(F.col(text_col)).alias("text_bytes"), *(["ord"] if given else []))
+    return narrow if given else dense_rank_from_zero(narrow, [F.col("doc_id"), F.col("source_text_sha1")])
 
 
 def _next(total: np.ndarray, rows: int, size: int) -> np.ndarray:
@@ -69,16 +78,35 @@ def _block_map(rows: int, size: int, block_rows: int):
     return run
 
 
+def _span_map(part: pd.DataFrame) -> pd.DataFrame:
+    """A span of blocks as one function, of the same kind as a block's: its tables, one after another."""
+    part = part.sort_values("block")
+    reached = np.arange(len(part["table"].iloc[0])) + int(part["start"].iloc[0])
+    for start, table in zip(part["start"], part["table"]):
+        reached = np.asarray(table)[reached - int(start)]
+    return pd.DataFrame({"span": [int(part["span"].iloc[0])], "start": [int(part["start"].iloc[0])], "table": [reached.tolist()]})
+
+
 def _compose(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Follow the one path that begins at 0 through the blocks' tables, in order."""
+    """Follow the one path that begins at 0 through the spans' tables, in order."""
     at = 0
     for part in parts:
-        entries, held = [], []
-        for start, table, before in zip(part["start"], part["table"], part["held"]):
+        entries = []
+        for start, table in zip(part["start"], part["table"]):
             entries.append(at)
-            held.append(int(before[at - start]))
             at = int(table[at - start])
-        yield pd.DataFrame({"block": part["block"], "entry": entries, "held": held})
+        yield pd.DataFrame({"span": part["span"], "entry": entries})
+
+
+def _follow(part: pd.DataFrame) -> pd.DataFrame:
+    """Follow a span's own path from where it is entered through its blocks."""
+    part = part.sort_values("block")
+    at, entries, held = int(part["entry"].iloc[0]), [], []
+    for start, table, before in zip(part["start"], part["table"], part["held"]):
+        entries.append(at)
+        held.append(int(before[at - start]))
+        at = int(table[at - start])
+    return pd.DataFrame({"block": part["block"], "entry": entries, "held": held})
 
 
 def _assign(rows: int, size: int):
@@ -112,9 +140,11 @@ def cut(order: DataFrame, target_rows: int, target_bytes: int | None = None, blo
     `target_bytes` bytes, checked after adding. Without a byte cap that is a division. With
     one it is a fold whose state resets, run in parallel: a shard has at most `target_rows`
     rows, so a block of rows is a function on the at most `target_rows` places where the
-    shard open at its beginning can have begun. Blocks work out that table, one task follows
-    a single path through the tables, and blocks then number their shards. A corpus of one
-    block needs no tables.
+    shard open at its beginning can have begun. Blocks work out that table; such functions
+    compose, so spans of blocks, as many as a span has blocks, become one function each; one
+    task follows the path through the spans, spans follow it through their blocks, and blocks
+    then number their shards. Of n blocks no task sees more than the tables of sqrt(n). A
+    corpus of one block needs no tables.
     """
     if target_bytes is None:
         return order.withColumn("shard_index", F.floor(F.col("ord") / target_rows).cast("int")).withColumn("row_in_shard", F.col("ord") % target_rows)
@@ -130,7 +160,11 @@ def cut(order: DataFrame, target_rows: int, target_bytes: int | None = None, blo
         ahead = sizes.filter(F.col("ord") % block_rows >= block_rows - target_rows).withColumn("block", F.col("block") + 1)
         halves = sizes.unionByName(ahead.join(sizes.select("block").distinct(), "block", "left_semi"))
         tables = halves.groupBy("block").applyInPandas(_block_map(target_rows, target_bytes, block_rows), "block long, start long, table array<long>, held array<long>")
-        entries = tables.repartition(1).sortWithinPartitions("block").mapInPandas(_compose, "block long, entry long, held long")
+        n_blocks = -(-order.count() // block_rows)
+        tables = materialize(tables.withColumn("span", F.floor(F.col("block") / math.isqrt(n_blocks)).cast("long")), "tables")
+        spans = tables.groupBy("span").applyInPandas(_span_map, "span long, start long, table array<long>")
+        first = spans.repartition(1).sortWithinPartitions("span").mapInPandas(_compose, "span long, entry long")
+        entries = tables.join(materialize(first, "spans"), "span").groupBy("span").applyInPandas(_follow, "block long, entry long, held long")
         entered = order.join(materialize(entries, "entries"), "block")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in order.schema)
     numbered = materialize(entered.groupBy("block").applyInPandas(_assign(target_rows, target_bytes), f"{schema}, local int, row_in_shard long"), "numbered")
@@ -142,12 +176,17 @@ def cut(order: DataFrame, target_rows: int, target_bytes: int | None = None, blo
     return placed.select(*columns, (F.col("_base") + F.col("local")).cast("int").alias("shard_index"), "row_in_shard")
 
 
+def shard_path(shard: Column) -> Column:
+    """Where `corpus.write_shards` puts a shard, under its root."""
+    return F.format_string("shard_index=%d", shard)
+
+
 def shard_manifest(sharded: DataFrame) -> DataFrame:
     """shard_index, n_rows, text_bytes, first_doc_id, last_doc_id, path."""
     return (
         sharded.groupBy("shard_index")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("text_bytes").alias("text_bytes"), F.min_by("doc_id", "ord").alias("first_doc_id"), F.max_by("doc_id", "ord").alias("last_doc_id"))
-        .withColumn("path", F.format_string("part_%05d.parquet", F.col("shard_index")))
+        .withColumn("path", shard_path(F.col("shard_index")))
     )
 
 

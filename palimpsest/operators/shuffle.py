@@ -7,7 +7,7 @@ import pickle
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.operators.order import dense_rank_from_zero
@@ -21,6 +21,11 @@ def choose_buckets(disk_bytes: int, mem_bytes: int | None = None, inflate: float
     return max(16, math.ceil(2.0 * disk_bytes * inflate / (0.55 * min(mem_bytes or cap, cap))))
 
 
+def bucket_count(disk_bytes: Column, inflate: float = 4.0, cap: int = 256 * GIB) -> Column:
+    """`choose_buckets` for a column of sizes."""
+    return F.greatest(F.lit(16), F.ceil(F.lit(2.0) * disk_bytes * F.lit(inflate) / F.lit(0.55 * cap))).cast("long")
+
+
 def shuffle_native(rows: DataFrame, rows_per_file: int, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
     """Add pos, file_no and row_in_file: rows in the order of a keyed digest of their id.
 
@@ -78,8 +83,7 @@ def shuffle_parity(order: DataFrame, buckets: int, rows_per_file: int, seed: int
 
 def check_permutation(before: DataFrame, after: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row: rows before and after, and whether the ids are the same ones as often."""
-    def digest(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(f"n_{name}"), F.coalesce(F.sum(F.xxhash64(id_col).cast("decimal(38,0)")), F.lit(0)).alias(f"_{name}"))
-
-    both = digest(before, "before").join(digest(after, "after"))
-    return both.select("n_before", "n_after", ((F.col("n_before") == F.col("n_after")) & (F.col("_before") == F.col("_after"))).alias("conserved"))
+    both = before.select(F.lit(1).alias("_side"), id_col).unionByName(after.select(F.lit(-1).alias("_side"), id_col))
+    digest = F.coalesce(F.sum(F.col("_side") * F.xxhash64(id_col).cast("decimal(38,0)")), F.lit(0))
+    out = both.agg(F.count_if(F.col("_side") == 1).alias("n_before"), F.count_if(F.col("_side") == -1).alias("n_after"), digest.alias("_digest"))
+    return out.select("n_before", "n_after", ((F.col("n_before") == F.col("n_after")) & (F.col("_digest") == 0)).alias("conserved"))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.functions import trim
-from palimpsest.functions.text import job_id, opening, text_bytes, text_sha1
+from palimpsest.functions.text import job_id, library_tokenizer, opening, text_bytes, text_sha1
 from palimpsest.operators import audit, budget, estimate, postprocess, prompts, sharding, shuffle
+from palimpsest.operators.generate import mock_generator, rewrite
 from palimpsest.plans import fixtures as fx
 from palimpsest.plans.jobs import OUTPUT_KEYS, STYLES, Arm
 from palimpsest.runtime import materialize, table
@@ -68,12 +70,16 @@ FOLD_SQL = f"""{ORDERED_SQL}, fold as (
     case when f.rows_held >= {fx.TARGET_ROWS} or f.bytes_held >= {fx.TARGET_BYTES} then 1 else f.rows_held + 1 end,
     case when f.rows_held >= {fx.TARGET_ROWS} or f.bytes_held >= {fx.TARGET_BYTES} then o.b else f.bytes_held + o.b end
   from fold f join o on o.ord = f.ord + 1)"""
-MANIFEST_SQL = "select shard_index, count(*) as n_rows, sum(b) as text_bytes, min(doc_id) as first_doc_id, max(doc_id) as last_doc_id, printf('part_%05d.parquet', shard_index) as path from {0} group by shard_index"
+MANIFEST_SQL = "select shard_index, count(*) as n_rows, sum(b) as text_bytes, min(doc_id) as first_doc_id, max(doc_id) as last_doc_id, 'shard_index=' || shard_index as path from {0} group by shard_index"
+
+
+def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_manifest(fx.sharded(spark, sf_dir))
 
 
 @query(f"with recursive {FOLD_SQL} {MANIFEST_SQL.format('fold')}")
 def dual_cap_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_manifest(fx.sharded(spark, sf_dir))
+    return _shards(spark, sf_dir)
 
 
 @query(f"with {ORDERED_SQL}, s as (select *, ord // {fx.TARGET_ROWS} as shard_index from o) {MANIFEST_SQL.format('s')}")
@@ -97,7 +103,7 @@ def corpus_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with recursive {FOLD_SQL}, s as (select count(distinct shard_index) as n_shards, count(*) as total_rows from fold) select n_shards, total_rows, case when n_shards >= 20 * 8 then null else greatest(200, total_rows // 160 // 100 * 100) end as suggested_rows from s")
 def shard_count_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one = sharding.shard_manifest(fx.sharded(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n_shards"), F.sum("n_rows").alias("total_rows")).first()
+    one = _shards(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_shards"), F.sum("n_rows").alias("total_rows")).first()
     return spark.createDataFrame([(one["n_shards"], one["total_rows"], sharding.check_shard_count(one["n_shards"], one["total_rows"], 8))], "n_shards long, total_rows long, suggested_rows long")
 
 
@@ -174,9 +180,21 @@ def style_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompts.with_styles(fx.sharded(spark, sf_dir))
 
 
-@query(f"with {_rows_sql(fx.STYLED)} select wrap_style, count(*) as n_rows from job where wrap_style not in ('easy', 'hard', 'wiki', 'qa') group by wrap_style")
+@query("with s as (select case when doc_id % 5 = 0 then 'loud' when doc_id % 7 = 0 then null when doc_id % 3 = 0 then 'qa' else 'easy' end as wrap_style from documents) select wrap_style, count(*) as n_rows from s where wrap_style is null or wrap_style not in ('easy', 'hard', 'wiki', 'qa') group by wrap_style")
 def unknown_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prompts.unknown_styles(fx.rewritten(spark, sf_dir, fx.STYLED))
+    k = F.col("doc_id")
+    style = F.when(k % 5 == 0, F.lit("loud")).when(k % 7 == 0, F.lit(None)).when(k % 3 == 0, F.lit("qa")).otherwise(F.lit("easy"))
+    return prompts.unknown_styles(table(spark, sf_dir, "documents").select(style.alias("wrap_style")))
+
+
+@query()
+def library_prompt_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt tokens, admission and trimmed output tokens by a real vocabulary; SQL has none, tests hold them against the library."""
+    real = library_tokenizer(fx.library_path())
+    made = prompts.assemble(fx.corpus(spark, sf_dir), fx.WIKI, fx.LIMITS, fx.CHAT, real)
+    rows = rewrite(made, "every", "wiki", mock_generator, real)
+    trimmed = postprocess.trim_rows(rows, "wiki", real)
+    return trimmed.select("doc_id", "n_prompt_tokens", "status", "stripped", "tokens_before", "n_output_tokens_llama2")
 
 
 # --- trimming and its statistics -------------------------------------------------------
@@ -304,9 +322,8 @@ _PROBLEMS = """problems as (
   union all select b.shard_index, 'rows out' from broken b join manifest m using (shard_index) where b.n_rows_out <> m.n_rows)"""
 
 
-def _broken(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = _stats(spark, sf_dir).filter("shard_index <> 3")
-    out = stats.select(
+def _broken(spark: SparkSession, stats: DataFrame) -> DataFrame:
+    out = stats.filter("shard_index <> 3").select(
         "shard_index", "n_rows_in", F.when(F.col("shard_index") == 5, F.col("n_rows_out") - 1).otherwise(F.col("n_rows_out")).alias("n_rows_out"), F.when(F.col("shard_index") == 7, F.lit("old")).otherwise(F.col("input_fingerprint")).alias("input_fingerprint"), "n_output_tokens"
     )
     return out.unionByName(spark.createDataFrame([(999, 1, 1, "fp", 1)], "shard_index int, n_rows_in long, n_rows_out long, input_fingerprint string, n_output_tokens long"))
@@ -317,7 +334,7 @@ _AUDIT = f"with recursive {FOLD_SQL}, {_rows_sql(fx.WIKI)}, {_STATS}, {_BROKEN},
 
 @query(f"{_AUDIT} select * from problems")
 def audit_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.shard_problems(sharding.shard_manifest(fx.sharded(spark, sf_dir)), _broken(spark, sf_dir), "fp")
+    return audit.shard_problems(_shards(spark, sf_dir), _broken(spark, _stats(spark, sf_dir)), "fp")
 
 
 @query(
@@ -327,13 +344,13 @@ def audit_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     "select *, n_missing = 0 and rows_out <> total_rows as total_differs, case when n_problems = 0 and rows_out = total_rows then 'DONE' when done = 0 then 'PENDING' else 'PARTIAL' end as state from v"
 )
 def audit_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = sharding.shard_manifest(fx.sharded(spark, sf_dir))
-    return audit.job_overview([("broken", audit.verify_job(held, _broken(spark, sf_dir), "fp")), ("whole", audit.verify_job(held, _stats(spark, sf_dir), "fp"))])
+    held, stats = materialize(_shards(spark, sf_dir), "manifest"), materialize(_stats(spark, sf_dir), "stats")
+    return audit.job_overview([("broken", audit.verify_job(held, _broken(spark, stats), "fp")), ("whole", audit.verify_job(held, stats, "fp"))])
 
 
 @query(f"{_AUDIT} select s.shard_index, b.n_rows_out, s.n_rows_out as counted from stats s join broken b using (shard_index) where b.n_rows_out <> s.n_rows_out union all select 999, 1, 0 union all select 3, -1, n_rows_out from stats where shard_index = 3")
 def audit_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.deep_count(fx.rewritten(spark, sf_dir, fx.WIKI, True), _broken(spark, sf_dir))
+    return audit.deep_count(fx.rewritten(spark, sf_dir, fx.WIKI, True), _broken(spark, _stats(spark, sf_dir)))
 
 
 @query("select doc_id, 1 as n_in, 0 as n_out from documents where doc_id % 97 = 0 union all select doc_id, 1, 2 from documents where doc_id % 89 = 1 and doc_id % 97 <> 0")
@@ -345,24 +362,26 @@ def audit_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_AUDIT} select shard_index, n_rows, text_bytes from manifest where shard_index % 3 = 1 and shard_index not in (select shard_index from broken where input_fingerprint = 'fp') union all select shard_index, n_rows, text_bytes from manifest where shard_index in (3, 7) and shard_index % 3 <> 1")
 def pending_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.pending_shards(sharding.shard_manifest(fx.sharded(spark, sf_dir)), _broken(spark, sf_dir), "fp").select("shard_index", "n_rows", "text_bytes")
+    return audit.pending_shards(_shards(spark, sf_dir), _broken(spark, _stats(spark, sf_dir)), "fp").select("shard_index", "n_rows", "text_bytes")
 
 
 @query(f"with recursive {FOLD_SQL}, {_MANIFEST} select shard_index, n_rows from manifest where shard_index % 4 = 1")
 def owned_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.owned_shards(sharding.shard_manifest(fx.sharded(spark, sf_dir)), 1, 4).select("shard_index", "n_rows")
+    return audit.owned_shards(_shards(spark, sf_dir), 1, 4).select("shard_index", "n_rows")
 
 
-@query("with c as (select 'every' as arm, 1000 as declared_docs, (select count(*) from documents) + 1 as total_rows union all select 'even', (select count(*) from documents where doc_id % 2 = 0), (select count(*) from documents where doc_id % 2 = 0)) select * from c where declared_docs <> total_rows")
+@query("with c as (select source as arm, count(*) as total_rows from documents group by source), d as (select source as arm, count(*) as declared_docs from documents where text is not null and length(text) > 300 group by source union all select 'unseen', 12 union all select 'undeclared', null) select coalesce(c.arm, d.arm) as arm, declared_docs, coalesce(total_rows, 0) as total_rows from c full join d on c.arm = d.arm where declared_docs is not null and declared_docs <> coalesce(total_rows, 0)")
 def declared_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = {n: fx.arm(spark, sf_dir, n).count() for n in ("every", "even")}
-    counted = spark.createDataFrame([("every", counts["every"] + 1), ("even", counts["even"])], "arm string, total_rows long")
-    return audit.declared_counts(counted, spark.createDataFrame([("every", 1000), ("even", counts["even"])], "arm string, declared_docs long"))
+    """Each source as an arm that declares its texts of more than 300 characters, and two arms without documents."""
+    docs = table(spark, sf_dir, "documents")
+    counted = docs.groupBy(F.col("source").alias("arm")).agg(F.count(F.lit(1)).alias("total_rows"))
+    declared = docs.filter(F.length("text") > 300).groupBy(F.col("source").alias("arm")).agg(F.count(F.lit(1)).alias("declared_docs"))
+    return audit.declared_counts(counted, declared.unionByName(spark.createDataFrame([("unseen", 12), ("undeclared", None)], "arm string, declared_docs long")))
 
 
 @query(f"with recursive {FOLD_SQL}, {_MANIFEST} select * from manifest order by shard_index limit 3")
 def first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.first_shards(sharding.shard_manifest(fx.sharded(spark, sf_dir)), 3)
+    return audit.first_shards(_shards(spark, sf_dir), 3)
 
 
 # --- shuffles --------------------------------------------------------------------------
@@ -379,10 +398,25 @@ def shuffle_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffle.shuffle_parity(materialize(fx.sharded(spark, sf_dir), "sharded"), fx.BUCKETS, fx.ROWS_PER_FILE, fx.SEED)
 
 
-@query("select count(*) as n_before, count(*) as n_after, true as conserved from documents")
+#: The documents before a shuffle, and what three writers made of them: all, one lost, one twice for another.
+_WRITTEN = "w as (select 'all' as writer, doc_id from documents union all select 'lost', doc_id from documents where doc_id <> 7 union all select 'doubled', case when doc_id = 7 then 8 else doc_id end from documents)"
+_SAME = "not exists (select doc_id from documents except all select doc_id from w where w.writer = n.writer) and not exists (select doc_id from w where w.writer = n.writer except all select doc_id from documents)"
+
+
+@query(f"with {_WRITTEN}, n as (select writer, count(*) as n_after from w group by writer) select writer, (select count(*) from documents) as n_before, n_after, {_SAME} as conserved from n")
 def shuffle_conserves(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
-    return shuffle.check_permutation(docs, shuffle.shuffle_native(docs, fx.ROWS_PER_FILE, fx.SEED))
+    placed = materialize(shuffle.shuffle_native(docs, fx.ROWS_PER_FILE, fx.SEED).select("doc_id"), "placed")
+    twice = placed.select(F.when(F.col("doc_id") == 7, F.lit(8)).otherwise(F.col("doc_id")).alias("doc_id"))
+    found = [shuffle.check_permutation(docs, after).select(F.lit(name).alias("writer"), "*") for name, after in (("all", placed), ("lost", placed.filter("doc_id <> 7")), ("doubled", twice))]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query("select d.disk_bytes, cast(greatest(16, ceil(2.0 * d.disk_bytes * 4 / (0.55 * 274877906944))) as bigint) as n_buckets from (select source, sum(strlen(text)) * 1000000 as disk_bytes from documents group by source) d")
+def bucket_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shuffle buckets for each source, were it a million times as large."""
+    sizes = table(spark, sf_dir, "documents").groupBy("source").agg((F.sum(text_bytes(F.col("text"))) * 1_000_000).alias("disk_bytes"))
+    return sizes.select("disk_bytes", shuffle.bucket_count(F.col("disk_bytes")).alias("n_buckets"))
 
 
 # --- budgets and joins -----------------------------------------------------------------
@@ -426,6 +460,27 @@ def remainder_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return budget.remainder(rows, rows.filter("doc_id % 5 = 0"), F.col("tokens"), 50_000, _order())
 
 
+_REMAINDERS = {"quality": ("a desc, doc_id", ""), "stratified": ("a desc, doc_id", "lang"), "disagreement": ("abs(a - b) desc, doc_id", ""), "uniform": (f"md5('{fx.SEED}:' || doc_id), doc_id", "")}
+
+
+@query(
+    "with r as (select doc_id, lang, length(coalesce(text, '')) // 4 + 1 as tokens, doc_id * 37 % 101 as a, doc_id * 53 % 89 as b from documents where doc_id % 5 <> 0) "
+    + " union all ".join(
+        f"select '{kind}' as kind, doc_id, tokens_before from (select doc_id, coalesce(sum(tokens) over ({'partition by ' + by if by else ''} order by {order} rows between unbounded preceding and 1 preceding), 0) as tokens_before from r) where tokens_before < 20000"
+        for kind, (order, by) in _REMAINDERS.items()
+    )
+)
+def remainder_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the core leaves, by quality, by quality within each language, by disagreement, and by uniform draws."""
+    k = F.col("doc_id")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", (F.floor(F.length(F.coalesce("text", F.lit(""))) / 4) + 1).alias("tokens"), (k * 37 % 101).alias("a"), (k * 53 % 89).alias("b"))
+    core, found = rows.filter("doc_id % 5 = 0"), []
+    for kind, (_, by) in _REMAINDERS.items():
+        order = budget.selection_order("quality" if by else kind, "a", "b", fx.SEED)
+        found.append(budget.remainder(rows, core, F.col("tokens"), 20_000, order, [by] if by else None).select(F.lit(kind).alias("kind"), "doc_id", "tokens_before"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(
     f"with a as (with {_rows_sql(fx.WIKI)} select * from job), b as (with {_rows_sql(fx.DISTILL)} select * from job), u as (select doc_id, prompt_id, n_output_tokens_llama2, 1 as pass from a where status = 2 union all select doc_id, prompt_id, n_output_tokens_llama2, 2 from b where status = 2), "
     "c as (select *, coalesce(sum(n_output_tokens_llama2) over (order by pass, md5('42:' || doc_id), doc_id rows between unbounded preceding and 1 preceding), 0) as tb from u) select doc_id, prompt_id, pass from c where tb < 60000"

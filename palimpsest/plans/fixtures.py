@@ -22,6 +22,13 @@ STYLED = PromptSpec("styled", "wrap_multi", "wrap", styles={s: f"Say this passag
 JOBS = JobTable([Arm("every", "every", ("wiki", "distill")), Arm("even", "even", ("styled",))], {p.name: p for p in (WIKI, DISTILL, STYLED)}, LIMITS, target_rows=TARGET_ROWS, target_bytes=TARGET_BYTES)
 
 
+def library_path() -> str:
+    """A public vocabulary as a tokenizers library file; production passes its model's own."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents with a record id that repeats where the text does."""
     h = F.md5("text")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from palimpsest.functions.text import shard_number
 from palimpsest.plans.jobs import OUTPUT_KEYS
+from palimpsest.runtime import materialize
 
 #: Types of the output columns.
 OUTPUT_TYPES: dict[str, T.DataType] = {
@@ -37,10 +38,29 @@ def read_shards(spark: SparkSession, path: str, shard: int | None = None) -> Dat
     return df if shard is None else df.filter(F.col("shard_index") == shard)
 
 
+def scan_order(df: DataFrame) -> DataFrame:
+    """Add `ord`, the running row number over files by path and rows within them, to a parquet scan.
+
+    Files are counted from their footers and numbered among themselves; rows are not moved:
+    a row's number is its file's start and its place in the file. Use it as the order, as the
+    key to join a shard back to its texts, and as the id of an arm without one.
+    """
+    rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    counts = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(F.lit(1)).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    starts = materialize(counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")), "file-starts")
+    return rows.join(starts, "_file").withColumn("ord", F.col("_start") + F.col("_at")).drop("_file", "_at", "_start")
+
+
 def list_shards(spark: SparkSession, path: str) -> DataFrame:
-    """(index, path) of part files, by name; other names are left out."""
-    names = spark.read.format("binaryFile").option("pathGlobFilter", "part_*.parquet").load(path).select("path", shard_number(F.col("path")).alias("index"))
-    return names.filter("index >= 0").select("index", "path")
+    """shard_index, path, n_rows of the shards under `path`, in order; other files are left out.
+
+    Shards are folders shard_index=N, as `write_shards` makes them, or files part_N.parquet.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    number = F.coalesce(F.regexp_extract("file", r"/shard_index=(\d+)/[^/]*$", 1).try_cast("int"), shard_number(F.col("file")))
+    held = files.select(number.alias("shard_index"), F.regexp_extract("file", r"(shard_index=\d+|part_\d+\.parquet)(/[^/]*)?$", 1).alias("path"), "n").filter("shard_index >= 0")
+    return held.groupBy("shard_index", "path").agg(F.sum("n").alias("n_rows")).orderBy("shard_index")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
@@ -66,6 +86,11 @@ def write_rows(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("compression", "gzip").option("ignoreNullFields", "false").json(path)
 
 
+def write_shard_rows(rows: DataFrame, path: str) -> None:
+    """Rows of some shards as JSON lines, a folder for each; a shard written again replaces itself alone."""
+    rows.repartition("shard_index").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard_index").option("compression", "gzip").option("ignoreNullFields", "false").json(path)
+
+
 def write_stats(stats: DataFrame, path: str) -> None:
     """Shard records, appended after the data they describe."""
     stats.coalesce(1).write.mode("append").json(path)
@@ -74,8 +99,8 @@ def write_stats(stats: DataFrame, path: str) -> None:
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
     """Shard records; unreadable lines are left out, and of a shard's several the last counts."""
     schema = T.StructType([*T._parse_datatype_string(STATS_SCHEMA).fields, T.StructField("_corrupt", T.StringType())])
-    df = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    kept = df.cache().filter("_corrupt is null and shard_index is not null").drop("_corrupt")
+    read = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    kept = spark.read.text(path).select(read.alias("r")).select("r.*").filter("_corrupt is null and shard_index is not null").drop("_corrupt")
     return kept.groupBy("shard_index").agg(F.max_by(F.struct(*[c for c in kept.columns if c != "shard_index"]), F.coalesce("finished_at", F.lit(0))).alias("r")).select("shard_index", "r.*")
 
 
@@ -88,6 +113,37 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path).first()[0])
 
 
+def manifest_shards(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest's shards as a table: shard_index, path, n_rows, text_bytes."""
+    return spark.read.json(path).select(F.explode("shards").alias("s")).select(F.col("s.index").cast("int").alias("shard_index"), "s.path", "s.n_rows", "s.text_bytes")
+
+
+def _folder(spark: SparkSession, path: str):
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return made.getFileSystem(spark._jsc.hadoopConfiguration()), made
+
+
+def mark_done(spark: SparkSession, path: str, stage: str) -> None:
+    """Leave `_<stage>.done` beside a stage's output, after all of it is written and checked."""
+    files, marker = _folder(spark, f"{path.rstrip('/')}/_{stage}.done")
+    files.create(marker, True).close()
+
+
+def is_done(spark: SparkSession, path: str, stage: str) -> bool:
+    files, marker = _folder(spark, f"{path.rstrip('/')}/_{stage}.done")
+    return files.exists(marker)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
+def write_progress(progress: DataFrame, root: str, worker: int) -> None:
+    """A worker's counters in a folder of its own; the last ones replace those before."""
+    progress.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/worker={worker}")
+
+
 def write_summary(summary: DataFrame, root: str, job_id: str) -> None:
     """One job's summary in a folder of its own, so that concurrent jobs never meet."""
     summary.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/job_id={job_id}")

@@ -160,6 +160,12 @@ GOOD = PromptSpec("p", "grounded", "wiki", "a [TEXT]")
         ([], {"p": PromptSpec("p", "wrap_multi", "wrap", styles={"hard": "x"})}),
         ([], {"p": PromptSpec("p", "wrap_multi", "wrap", styles={s: "same\n\nPassage:\n" for s in ("easy", "hard", "wiki", "qa")})}),
         ([], {"p": PromptSpec("p", "grounded", "wiki", "[TEXT]", input_drop=0)}),
+        ([], {"p": PromptSpec("p", "grounded", "wrap", "[TEXT]")}),
+        ([], {"p": PromptSpec("p", "wrap_multi", "wiki", styles=fx.STYLED.styles)}),
+        ([], {"p": PromptSpec("p", "wrap_multi", "wrap", "text too", styles=fx.STYLED.styles)}),
+        ([Arm("a", "x", ())], {"p": GOOD}),
+        ([Arm("a", "x", ("p",), ratios=(1.0, 2.0))], {"p": GOOD}),
+        ([Arm("a", "x", ("p",), docs=-1)], {"p": GOOD}),
     ],
 )
 def test_bad_job_tables(arms, prompts_):
@@ -220,10 +226,141 @@ def test_sources_round_trip(spark, tmp_path):
     assert sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "files")).groupBy("file_no").agg(F.count("*").alias("n")).collect()) == [2, 4, 4]
     manifest = sharding.manifest(held, "a", 4, 100, ["doc_id"])
     corpus.write_manifest(manifest, str(tmp_path / "manifest"))
+    named = corpus.manifest_shards(spark, str(tmp_path / "manifest"))
+    on_disk = corpus.list_shards(spark, str(tmp_path / "shards"))
+    assert [r["path"] for r in on_disk.collect()] == [r["path"] for r in named.orderBy("shard_index").collect()] == ["shard_index=0", "shard_index=1", "shard_index=2"]
+    assert spark.read.parquet(str(tmp_path / "shards" / named.filter("shard_index = 1").first()["path"])).count() == 4
+    assert audit.shards_on_disk(named, on_disk).count() == 0
+    odd = named.filter("shard_index > 0").union(spark.createDataFrame([(9, "shard_index=9", 1, 1)], named.schema))
+    assert {tuple(r) for r in audit.shards_on_disk(odd, on_disk).collect()} == {(0, "not in the manifest"), (9, "not on disk")}
     assert corpus.read_manifest(spark, str(tmp_path / "manifest"))["total_rows"] == 9
     assert "| doc_id |" in corpus.dataset_card("a__p", 9, 5, ["doc_id"])
 
 
+def test_command_line_round_trip(spark, tmp_path, capsys):
+    """Repeated and null ids, record ids and scan order survive; what is done isn't done again."""
+    import json
+
+    from palimpsest import cli
+    from palimpsest.sources import corpus
+
+    ids = [5, 5, None, 3, 3, 3, None, 9, 1, 2]
+    rows = [(i, f"r{k}", f"text {k} " + "w " * (40 * k)) for k, i in enumerate(ids)]
+    for k in (0, 1):
+        spark.createDataFrame(rows[5 * k : 5 * k + 5], "doc_id long, record_id string, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / f"arm/{k}"))
+    source, root, out = str(tmp_path / "arm/*"), str(tmp_path / "in/a"), str(tmp_path / "out")
+    assert cli.main(["shard", source, root, "--arm", "a", "--rows", "3", "--bytes", "100000"]) == 0
+    held = corpus.read_shards(spark, f"{root}/shards").orderBy("ord").collect()
+    assert [(r["doc_id"], r["record_id"], r["text"]) for r in held] == rows
+    assert [(r["shard_index"], r["row_in_shard"]) for r in held] == [divmod(k, 3) for k in range(10)]
+    config = {"arms": [{"name": "a", "subdir": "a", "prompts": ["p", "s"]}], "prompts": {"p": {"mode": "grounded", "trim": "distill", "text": "[TEXT]"}, "s": {"mode": "wrap_multi", "trim": "wrap", "styles": fx.STYLED.styles}}, "limits": {"max_model_len": 250, "max_tokens": 100}}
+    (tmp_path / "jobs.json").write_text(json.dumps(config))
+    jobs, job = str(tmp_path / "jobs.json"), f"{out}/a__p"
+    assert cli.main(["describe", jobs]) == 0 and "a__p" in capsys.readouterr().out
+    assert cli.main(["rewrite", jobs, "a__p", root, job, "--limit-shards", "1"]) == 0
+    assert cli.main(["verify", root, job]) == 1
+    assert cli.main(["rewrite", jobs, "a__p", root, job, "--worker-id", "1", "--num-workers", "2"]) == 0
+    assert cli.main(["rewrite", jobs, "a__p", root, job]) == 0 and cli.main(["rewrite", jobs, "a__p", root, job]) == 0
+    assert capsys.readouterr().out.splitlines()[-1] == "0 shards"
+    assert cli.main(["verify", root, job, "--deep"]) == 0
+    assert cli.main(["rewrite", jobs, "a__s", root, f"{out}/a__s"]) == 0
+    assert [r["state"] for r in cli.status_table(spark, cli._table(cli.parser().parse_args(["describe", jobs])), str(tmp_path / "in"), out).collect()] == ["DONE", "DONE"]
+    made = corpus.read_rows(spark, f"{job}/rows")
+    assert sorted((str(r["doc_id"]), r["record_id"]) for r in made.collect()) == sorted((str(i), r) for i, r, _ in rows)
+    assert {r["status"] for r in made.collect()} == {0, 2}
+    assert cli.main(["trim", f"{job}/rows", f"{out}/trimmed", "--rule", "distill", "--tokenizer", fx.library_path()]) == 0
+    real = {r["record_id"]: r for r in corpus.read_rows(spark, f"{out}/trimmed").collect()}
+    counter = __import__("tokenizers").Tokenizer.from_file(fx.library_path())
+    changed = [r for r in real.values() if r["rewritten_text"] != {m["record_id"]: m["rewritten_text"] for m in made.collect()}[r["record_id"]]]
+    assert changed and all(r["n_output_tokens_llama2"] == len(counter.encode(r["rewritten_text"], add_special_tokens=False).ids) for r in changed)
+    assert corpus.is_done(spark, f"{out}/trimmed", "trimmed") and cli.main(["trim", f"{job}/rows", f"{out}/trimmed", "--rule", "wrap"]) == 0
+    assert cli.main(["shuffle", f"{job}/rows", f"{out}/mixed", "--rows-per-file", "4"]) == 0 and corpus.is_done(spark, f"{out}/mixed", "shuffle")
+    assert spark.read.parquet(f"{out}/mixed").count() == 10
+    assert cli.main(["rewrite", jobs, "a__none", root, job]) == 2
+
+
+def test_ids_follow_the_scan_where_an_arm_has_none(spark, tmp_path):
+    from palimpsest.sources import corpus
+
+    for k in range(3):
+        spark.range(10 * k, 10 * k + 10).select(F.concat(F.lit("t"), "id").alias("text")).coalesce(1).write.parquet(str(tmp_path / f"part{2 - k}"))
+    got = sharding.ordered(corpus.scan_order(spark.read.parquet(str(tmp_path / "part*"))))
+    texts = [f"t{k}" for k in (*range(20, 30), *range(10, 20), *range(10))]
+    assert [(r["doc_id"], r["source_text_sha1"]) for r in got.orderBy("ord").collect()] == [(k, hashlib.sha1(t.encode()).hexdigest()) for k, t in enumerate(texts)]
+    with pytest.raises(ValueError):
+        sharding.ordered(spark.createDataFrame([("a",)], "text string"))
+
+
+def test_unknown_styles_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a", "easy"), (2, "b", "loud")], "doc_id long, text string, style string")
+    made = prompts.assemble(docs, fx.STYLED, fx.LIMITS, fx.CHAT, fx.PROMPT_TOKENS, style_col="style")
+    assert made.filter("doc_id = 1").count() == 1
+    for odd in (docs, docs.withColumn("style", F.lit(None).cast("string"))):
+        with pytest.raises(Exception, match="has no style"):
+            prompts.assemble(odd, fx.STYLED, fx.LIMITS, fx.CHAT, fx.PROMPT_TOKENS, style_col="style").collect()
+
+
+def test_generator_input_is_worked_out_once(spark):
+    """One pass over the assembled rows; a row without a count is kept and not generated."""
+    docs = spark.createDataFrame([(k, "x" * (40 * k)) for k in range(20)], "doc_id long, text string").repartition(2)
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("int")
+    def count(text):
+        calls.add(len(text))
+        return text.str.len().where(text.str.len() < 500).astype("Int32")
+
+    from palimpsest.functions.text import Tokenizer
+
+    made = prompts.assemble(docs, PromptSpec("p", "grounded", "wiki", "a [TEXT] b"), fx.Limits(600, 50), fx.CHAT, Tokenizer("t", count))
+    rows = generate.rewrite(made, "a", "p", generate.batch_generator(lambda: lambda texts, allowed: [("out", None, 3) for _ in texts]), fx.OUTPUT_TOKENS).collect()
+    assert len(rows) == 20 and calls.value == 20
+    assert sum(r["status"] == 0 and r["n_prompt_tokens"] is None for r in rows) > 0
+
+
+def test_library_tokens(spark):
+    from palimpsest.plans import catalog
+
+    counter = __import__("tokenizers").Tokenizer.from_file(fx.library_path())
+    n = lambda t: len(counter.encode(t, add_special_tokens=False).ids)
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    for r in catalog.QUERIES["library_prompt_tokens"](spark, "/root/testdata/sf0.001").collect():
+        assert r["n_prompt_tokens"] == n(fx.CHAT.prefix + fx.WIKI.text.replace("[TEXT]", texts[r["doc_id"]]) + fx.CHAT.suffix)
+        assert r["n_output_tokens_llama2"] <= r["tokens_before"] and (r["stripped"] or r["n_output_tokens_llama2"] == r["tokens_before"])
+
+
+def test_settings():
+    from palimpsest.plans.jobs import check_architecture, check_settings
+
+    assert check_settings({})["compute"]["num_gpus"] == 1
+    engine = check_settings({})["engine"]
+    check_settings({"upload": {"enabled": True, "repo_template": "x/{arm}-{prompt_id}"}, "compute": {"num_gpus": 2, "gpu_ids": [0, 1], "fleet_gpus": 16}})
+    for bad in (
+        {"odd": {}}, {"engine": {"dtype": "x"}}, {"engine": engine | {"odd": 1}}, {"engine": engine | {"tensor_parallel_size": 2}}, {"sampling": {"seed": 1}},
+        {"compute": {"num_gpus": 0}}, {"compute": {"num_gpus": "two"}}, {"compute": {"num_gpus": True}}, {"compute": {"gpu_ids": [1, 2]}}, {"compute": {"fleet_gpus": 0}}, {"compute": {"num_gpus": 4, "fleet_gpus": 2}},
+        {"compute": {"shard_assignment": "odd"}}, {"compute": {"scheduler": "odd"}}, {"compute": {"allowed_gpu_arch": []}}, {"compute": {"allowed_gpu_arch": ["9.0"]}},
+        {"output": {"compression": "gzip"}}, {"upload": {"enabled": "yes"}}, {"upload": {"enabled": True}}, {"upload": {"repo_template": "x/{arm}"}}, {"upload": {"stage": "odd"}},
+    ):
+        with pytest.raises(ConfigError):
+            check_settings(bad)
+    check_architecture("9.0", ["9.0"])
+    with pytest.raises(ConfigError):
+        check_architecture("8.0", ["9.0"])
+
+
+def test_preflight_and_monitor(spark):
+    jobs = JobTable([Arm("a", "a", ("p",), 10, 1000, (0.5,)), Arm("b", "b", ("p",), 10, 1000, (0.5,))], {"p": GOOD})
+    docs = spark.createDataFrame([(1, "r", "text")], "doc_id long, record_id string, text string")
+    got = {r["check"]: r["ok"] for r in audit.preflight(spark, jobs, {"a": docs}, free_bytes=100).collect()}
+    assert got == {"jobs": True, "source a": True, "source b": False, "disk": False}
+    rows = spark.createDataFrame([(1, "- a\n- a"), (2, "word " * 30)], "doc_id long, rewritten_text string")
+    assert {tuple(r) for r in audit.monitor(rows, per=1).collect()} == {(1, True, True, True), (2, False, False, False)}
+    many = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("rewritten_text"))
+    assert 10 < audit.monitor(many).count() < 40
+    listed = audit.job_listing(spark, fx.JOBS).collect()
+    assert [(r["job_id"], r["derived"], r["prompts"]) for r in listed] == [("every__wiki", False, 1), ("every__distill", True, 1), ("even__styled", False, 4)]
+
+
 def test_streaming_takes_each_file_once(spark, tmp_path):
     from palimpsest.streaming.incremental import follow_shards
 
