@@ -90,7 +90,27 @@ def op6_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
-    return found.drop("item_ids")
+    return found.drop("item_ids", "longest_hit")
+
+
+_OP7_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP7_SQL = f"""
+with d as (select doc_id, {_OP7_WORDS} as w from documents),
+b as (select cast(item_id as varchar) as item, {_OP7_WORDS} as w from benchmark),
+passages as (
+  select distinct item, least(13, len(w)) as n, array_to_string(w[i:i + 12], ' ') as p
+  from (select item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as i from b where len(w) > 0)),
+lengths as (select distinct n from passages),
+windows as (
+  select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as p
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, lengths where len(w) >= n)),
+found as (select doc_id, i, n, item from windows join passages using (n, p)),
+covered as (select doc_id, count(distinct place) as n_hit from (select doc_id, unnest(range(i, i + n)) as place from found) group by doc_id),
+named as (select doc_id, count(*) as n_items, sha256(string_agg(item, ',' order by item)) as digest from (select distinct doc_id, item from found where item is not null) group by doc_id)
+select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, coalesce(digest, sha256('')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join covered using (doc_id) left join named using (doc_id)
+"""
 
 
 def as_files(docs: DataFrame) -> DataFrame:
@@ -124,4 +144,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_prob_min_hash": op9_prob_min_hash,
     "op10_best_fit_decreasing": op10_best_fit_decreasing,
 }
-ORACLES: dict[str, str] = {"op2_bloom_cascade": OP2_SQL}
+ORACLES: dict[str, str] = {"op2_bloom_cascade": OP2_SQL, "op7_wu_manber": OP7_SQL}

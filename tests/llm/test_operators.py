@@ -198,6 +198,10 @@ def test_contamination(spark, docs, none, rows, limit):
     assert contamination.find_contamination(docs, benchmark.filter("false"), ["doc_id"]).filter("n_hit > 0").count() == 0
 
 
+def test_contamination_matches_sql(same):
+    same("op7", queries.QUERIES["op7_wu_manber"], queries.ORACLES["op7_wu_manber"])
+
+
 def test_two_benchmarks_in_one_worker(spark):
     """Tables of an earlier benchmark are never searched again, whatever object held them."""
     texts = spark.createDataFrame([(k, " ".join(f"t{k}x{j}" for j in range(30))) for k in range(6)], "doc_id long, text string").coalesce(1)
