@@ -93,3 +93,12 @@ def library_tokenizer(path: str) -> Tokenizer:
         return pd.Series([len(e.ids) for e in held[path].encode_batch(text.fillna("").tolist(), add_special_tokens=False)], dtype="int32")
 
     return Tokenizer(path, count)
+
+
+def check_vocabulary(path: str, size: int) -> None:
+    """Refuse a tokenizers library file of another vocabulary size, before anything is counted with it."""
+    import tokenizers
+
+    found = tokenizers.Tokenizer.from_file(path).get_vocab_size()
+    if found != size:
+        raise ValueError(f"{path} has {found} tokens where {size} are expected")

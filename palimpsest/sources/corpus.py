@@ -139,6 +139,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def payload(spark: SparkSession, path: str) -> DataFrame:
+    """path, length of the files under `path` that an export takes: no temporary, hidden or marker ones."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    return files.filter(~F.regexp_like("path", F.lit(r"(\.tmp|\.done|\.crc|/[._][^/]*)$"))).orderBy("path")
+
+
+def missing_weights(spark: SparkSession, path: str) -> list[str]:
+    """Weight files that a model's index names and its folder lacks; without an index, the one file there must be."""
+    root = path.rstrip("/")
+    if not exists(spark, f"{root}/model.safetensors.index.json"):
+        return [] if exists(spark, f"{root}/model.safetensors") else ["model.safetensors"]
+    index = json.loads("\n".join(r[0] for r in spark.read.text(f"{root}/model.safetensors.index.json").collect()))
+    return sorted(f for f in set(index["weight_map"].values()) if not exists(spark, f"{root}/{f}"))
+
+
 def write_progress(progress: DataFrame, root: str, worker: int) -> None:
     """A worker's counters in a folder of its own; the last ones replace those before."""
     progress.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/worker={worker}")

@@ -348,6 +348,25 @@ def test_settings():
         check_architecture("8.0", ["9.0"])
 
 
+def test_models_and_exports(spark, tmp_path):
+    from palimpsest.functions.text import check_vocabulary
+    from palimpsest.sources import corpus
+
+    model = tmp_path / "model"
+    model.mkdir()
+    assert corpus.missing_weights(spark, str(model)) == ["model.safetensors"]
+    (model / "model.safetensors.index.json").write_text('{"weight_map": {"a": "one.safetensors", "b": "two.safetensors", "c": "one.safetensors"}}')
+    (model / "one.safetensors").write_text("x")
+    assert corpus.missing_weights(spark, str(model)) == ["two.safetensors"]
+    for name in ("x.tmp", "_trimmed.done", ".hidden"):
+        (model / name).write_text("")
+    assert [r["path"].rsplit("/", 1)[1] for r in corpus.payload(spark, str(model)).collect()] == ["model.safetensors.index.json", "one.safetensors"]
+    size = __import__("tokenizers").Tokenizer.from_file(fx.library_path()).get_vocab_size()
+    check_vocabulary(fx.library_path(), size)
+    with pytest.raises(ValueError):
+        check_vocabulary(fx.library_path(), size + 1)
+
+
 def test_preflight_and_monitor(spark):
     jobs = JobTable([Arm("a", "a", ("p",), 10, 1000, (0.5,)), Arm("b", "b", ("p",), 10, 1000, (0.5,))], {"p": GOOD})
     docs = spark.createDataFrame([(1, "r", "text")], "doc_id long, record_id string, text string")
