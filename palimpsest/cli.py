@@ -1,4 +1,4 @@
-"""Command line over the library: shard, describe, rewrite, status, verify, trim, shuffle."""
+"""Command line over the library: shard, describe, rewrite, status, verify, sweep, trim, shuffle."""
 
 from __future__ import annotations
 
@@ -49,6 +49,11 @@ def parser() -> argparse.ArgumentParser:
     verify.add_argument("input")
     verify.add_argument("out")
     verify.add_argument("--deep", action="store_true")
+    after = sub.add_parser("sweep", parents=[jobs, tokenizer], help="trim and shuffle every job that is done and wasn't yet")
+    after.add_argument("input")
+    after.add_argument("out")
+    after.add_argument("--rows-per-file", type=int, default=500_000)
+    after.add_argument("--seed", type=int, default=42)
     trim = sub.add_parser("trim", parents=[tokenizer], help="trim rewritten rows by a rule")
     trim.add_argument("rows")
     trim.add_argument("out")
@@ -165,6 +170,24 @@ def shuffle_job(spark: SparkSession, source: str, out: str, rows_per_file: int,
     corpus.mark_done(spark, out, "shuffle")
 
 
+def sweep(spark: SparkSession, table: JobTable, source: str, out: str, tokenizer: Tokenizer, rows_per_file: int, seed: int) -> list[tuple[str, str]]:
+    """Trim and shuffle every job that is DONE and wasn't yet; what was done with each job."""
+    found = []
+    for r in status_table(spark, table, source, out).collect():
+        job, root = r["job_id"], f"{out}/{r['job_id']}"
+        if r["state"] != "DONE":
+            found.append((job, r["state"]))
+            continue
+        fresh = not corpus.is_done(spark, f"{root}/trimmed", "trimmed")
+        if fresh:
+            trim_job(spark, f"{root}/rows", f"{root}/trimmed", table.job(job)[1].trim, tokenizer)
+        if fresh or not corpus.is_done(spark, f"{root}/shuffled", "shuffle"):
+            shuffle_job(spark, f"{root}/trimmed", f"{root}/shuffled", rows_per_file, seed)
+            fresh = True
+        found.append((job, "post-processed" if fresh else "was done"))
+    return found
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
@@ -182,6 +205,9 @@ def main(argv: list[str] | None = None) -> int:
             found = verify_job(spark, args.input, args.out, args.deep).first()
             print(found.asDict())
             return 0 if found["state"] == "DONE" else 1
+        elif args.command == "sweep":
+            for job, what in sweep(spark, _table(args), args.input, args.out, _counter(args), args.rows_per_file, args.seed):
+                print(job, what)
         elif args.command == "trim" and args.dry_run:
             postprocess.dry_run(corpus.read_rows(spark, args.rows), args.rule, args.dry_run).show(truncate=False)
         elif args.force or not corpus.is_done(spark, args.out, {"trim": "trimmed", "shuffle": "shuffle"}[args.command]):

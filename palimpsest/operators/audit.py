@@ -35,12 +35,25 @@ def shard_problems(manifest: DataFrame, stats: DataFrame, fingerprint: str) -> D
 
 def verify_job(manifest: DataFrame, stats: DataFrame, fingerprint: str) -> DataFrame:
     """One row: shards, done, rows and tokens out, numbers of problems, and the job's state."""
-    problems = shard_problems(manifest, stats, fingerprint).agg(
-        F.count_if(F.col("problem") == "missing").alias("n_missing"), F.count_if(F.col("problem") == "extra").alias("n_extra"), F.count(F.lit(1)).alias("n_problems")
+    rows, none = F.col("n_rows").cast("long"), F.lit(None).cast("long")
+    sides = [
+        manifest.select(F.lit("shard").alias("side"), rows.alias("n"), none.alias("tokens"), F.lit("").alias("problem")),
+        stats.select(F.lit("record").alias("side"), F.col("n_rows_out").cast("long").alias("n"), F.col("n_output_tokens").cast("long").alias("tokens"), F.lit("").alias("problem")),
+        shard_problems(manifest, stats, fingerprint).select(F.lit("problem").alias("side"), none.alias("n"), none.alias("tokens"), "problem"),
+    ]
+
+    def total(side: str, column: str):
+        return F.coalesce(F.sum(F.when(F.col("side") == side, F.col(column))), F.lit(0))
+
+    out = reduce(DataFrame.unionByName, sides).agg(
+        F.count_if(F.col("side") == "shard").alias("n_shards"),
+        total("shard", "n").alias("total_rows"),
+        F.count_if(F.col("side") == "record").alias("done"),
+        total("record", "n").alias("rows_out"),
+        total("record", "tokens").alias("out_tokens"),
+        *(F.count_if(F.col("problem") == p).alias(f"n_{p}") for p in ("missing", "extra")),
+        F.count_if(F.col("side") == "problem").alias("n_problems"),
     )
-    wanted = manifest.agg(F.count(F.lit(1)).alias("n_shards"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total_rows"))
-    got = stats.agg(F.count(F.lit(1)).alias("done"), F.coalesce(F.sum("n_rows_out"), F.lit(0)).alias("rows_out"), F.coalesce(F.sum("n_output_tokens"), F.lit(0)).alias("out_tokens"))
-    out = wanted.join(got).join(problems)
     short = (F.col("n_missing") == 0) & (F.col("rows_out") != F.col("total_rows"))
     state = F.when((F.col("n_problems") == 0) & ~short, F.lit("DONE")).when(F.col("done") == 0, F.lit("PENDING")).otherwise(F.lit("PARTIAL"))
     return out.withColumn("total_differs", short).withColumn("state", state)

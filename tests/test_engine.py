@@ -265,6 +265,10 @@ def test_command_line_round_trip(spark, tmp_path, capsys):
     assert cli.main(["verify", root, job, "--deep"]) == 0
     assert cli.main(["rewrite", jobs, "a__s", root, f"{out}/a__s"]) == 0
     assert [r["state"] for r in cli.status_table(spark, cli._table(cli.parser().parse_args(["describe", jobs])), str(tmp_path / "in"), out).collect()] == ["DONE", "DONE"]
+    table = cli._table(cli.parser().parse_args(["describe", jobs]))
+    for what in ("post-processed", "was done"):
+        assert cli.sweep(spark, table, str(tmp_path / "in"), out, fx.OUTPUT_TOKENS, 4, 1) == [("a__p", what), ("a__s", what)]
+    assert spark.read.parquet(f"{out}/a__s/shuffled").count() == 10
     made = corpus.read_rows(spark, f"{job}/rows")
     assert sorted((str(r["doc_id"]), r["record_id"]) for r in made.collect()) == sorted((str(i), r) for i, r, _ in rows)
     assert {r["status"] for r in made.collect()} == {0, 2}

@@ -34,3 +34,17 @@ def test_filters_reach_the_scan(spark):
 
 def test_trimming_adds_no_shuffle(spark):
     assert "Exchange" not in plan(QUERIES["trim_wrap"](spark, SF))
+
+
+@pytest.mark.parametrize("rows_per_range", [1 << 20, 50])
+def test_ordering_reads_texts_in_as_many_tasks_as_the_scan(spark, monkeypatch, rows_per_range):
+    """Hashes are written by the scan's own tasks; only ids, digests and sizes are put in order."""
+    from palimpsest.operators import order, sharding
+
+    monkeypatch.setattr(order, "ROWS_PER_RANGE", rows_per_range)
+    written = []
+    monkeypatch.setattr(order, "materialize", lambda df, name: written.append(plan(df)) or __import__("palimpsest.runtime").runtime.materialize(df, name))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    shown = plan(sharding.cut(sharding.ordered(docs), 10))
+    assert "sha1" in written[0] and not re.search("Exchange|Coalesce 1", written[0])
+    assert not any("text#" in p for p in [*written[1:], shown])
