@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from palimpsest.runtime import materialize
 
 #: Rows one window partition holds on average.
-ROWS_PER_BLOCK = 1 << 12
+ROWS_PER_BLOCK = 1 << 10
 
 
 def gapless_rank(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
