@@ -12,7 +12,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Hang neighbours on each node's least neighbour: the larger ones, or the smaller and itself."""
     near = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
     least = near.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
-    joined = near.join(materialize(least, "least"), F.col("u") == F.col("c")).select("u", "v", "m")
+    if large:
+        least = materialize(least, "least")
+    joined = near.join(least, F.col("u") == F.col("c")).select("u", "v", "m")
     if large:
         out = joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -31,14 +33,12 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of `edges` (a, b), the label being its component's least node.
 
     Rounds are logarithmic in the longest path; only edges move, a node's neighbours never
-    meet in one task but as partial minima, which are written before edges are joined to
-    them, so that Spark splits a hub's edges over tasks. Each round is written, so lineage
+    meet in one task but as partial minima; those of a large star are written before edges
+    are joined to them, so that Spark splits a hub's edges over tasks. Each round is written, so lineage
     stays short. The driver sees one number a round. An empty table gives none.
     """
     now = materialize(edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     while not _is_star(now):
-        large = materialize(_star(now, True).distinct(), "edges")
-        small = materialize(_star(large, False).distinct(), "edges")
-        discard(now, large)
-        now = small
+        before, now = now, materialize(_star(_star(now, True), False).distinct(), "edges")
+        discard(before)
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -23,8 +23,10 @@ BANDS, ROWS = 32, 5
 LEAST_ESTIMATE = 0.65
 #: Text bytes and texts one kernel call works on.
 SLICE, SLICE_ROWS = 3 << 20, 2048
-#: Members of a bucket that one task compares with as many that are still apart in it.
-BLOCK_MEMBERS = 1024
+#: Members of a bucket that one task compares with so many that are still apart in it.
+BLOCK_MEMBERS, TURN_MEMBERS = 1024, 512
+#: Pairs of one member that are worked out together, before components are looked at again.
+AT_ONCE = 64
 #: Fingerprints of texts to verify that are broadcast at most; more are joined by shuffling.
 BROADCAST_IDS = 1 << 19
 
@@ -136,6 +138,22 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return out
 
 
+def similarities(one: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """`probability_jaccard` of one non-empty set with each of several, all without repeats at once."""
+    out = np.zeros(len(others))
+    plain = np.array([one[1].max() == 1 and w.max() == 1 for _, w in others], bool)
+    for k in np.flatnonzero(~plain):
+        out[k] = probability_jaccard(one, others[k])
+    if plain.any():
+        held = [others[k][0] for k in np.flatnonzero(plain)]
+        sizes = np.array([len(h) for h in held])
+        flat = np.concatenate(held)
+        same = one[0][np.minimum(np.searchsorted(one[0], flat), len(one[0]) - 1)] == flat
+        common = np.add.reduceat(same.astype(np.int64), np.cumsum(sizes) - sizes)
+        out[plain] = common / (len(one[0]) + sizes - common)
+    return out
+
+
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, MD5 of the text, band keys (empty without words), registers as 16 bits each."""
     ship(docs.sparkSession)
@@ -183,7 +201,10 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", tex
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), fingerprint(text).alias("_fp"), text.alias("t"))
-    held = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    n, schema = wanted.count(), "node long, hashes binary, weights binary"
+    if not n:
+        return docs.sparkSession.createDataFrame([], schema)
+    held = F.broadcast(wanted) if n <= BROADCAST_IDS else wanted
     own = read.join(held, (F.col("_fp") == F.col("fp")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("node").agg(F.first("t").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +214,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", tex
             w = np.minimum(w, (1 << 32) - 1).astype(np.uint32)
             yield pa.RecordBatch.from_arrays([b.column("node"), *(pa.array([x[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()) for x in (h, w))], ["node", "hashes", "weights"])
 
-    return own.mapInArrow(run, "node long, hashes binary, weights binary")
+    return own.mapInArrow(run, schema)
 
 
 def _sets(hashes: pa.ChunkedArray | pa.Array, weights: pa.ChunkedArray | pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -221,10 +242,14 @@ def _compare_block(similarity: float):
             there = members[(label[members] != label[i]) & (~apart[members] | (node[members] > node[i]))]
             there = there[(sign[there] == sign[i]).mean(axis=1) >= LEAST_ESTIMATE]
             shared = np.where(bands[there] == bands[i], bands[there], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
-            for j in there[shared == key]:
-                if label[i] != label[j] and probability_jaccard(sets[i], sets[j]) >= similarity - 1e-9:
-                    out.append((min(node[i], node[j]), max(node[i], node[j])))
-                    label[label == label[j]] = label[i]
+            there = there[shared == key]
+            while len(there):
+                now, there = there[:AT_ONCE], there[AT_ONCE:]
+                for j in now[similarities(sets[i], [sets[j] for j in now]) >= similarity - 1e-9]:
+                    if label[i] != label[j]:
+                        out.append((min(node[i], node[j]), max(node[i], node[j])))
+                        label[label == label[j]] = label[i]
+                there = there[label[there] != label[i]]
         a, b = zip(*out) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -293,18 +318,17 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     leaders = materialize(leaders, "op9-leaders")
     led = buckets.join(leaders, "key").select("node", F.explode(F.array("l1", "l2")).alias("leader")).filter("node != leader")
     pairs = led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    pairs = materialize(likely(materialize(pairs, "op9-led"), signs), "op9-pairs")
+    pairs = materialize(likely(pairs, signs), "op9-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts_of = nodes.select("node", "fp", "first_id")
     sets = materialize(shingle_sets(docs, materialize(texts_of.join(wanted, "node", "left_semi"), "op9-wanted"), id_col, text_col), "op9-sets")
-    edges = materialize(verify(pairs, sets, similarity), "op9-edges")
-    labels = materialize(components(edges), "op9-labels")
-    discard(crowded, leaders, edges, pairs)
+    labels = materialize(components(verify(pairs, sets, similarity)), "op9-labels")
+    discard(crowded, leaders, pairs)
 
     named = _relabel(buckets, labels)
     sizes = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     split = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("members")).filter("parts > 1")
-    blocks = [F.ceil(c / BLOCK_MEMBERS).cast("int") for c in (F.col("members"), F.col("members") - F.col("main.n"))]
+    blocks = [F.ceil(c / n).cast("int") for c, n in ((F.col("members"), BLOCK_MEMBERS), (F.col("members") - F.col("main.n"), TURN_MEMBERS))]
     split = materialize(split.select("key", F.col("main.label").alias("main"), blocks[0].alias("blocks"), blocks[1].alias("turns")), "op9-split")
     open_ = materialize(named.join(split, "key").withColumn("apart", F.col("label") != F.col("main")), "op9-open")
     more = texts_of.join(open_.select("node").distinct(), "node", "left_semi").join(sets.select("node"), "node", "left_anti")
@@ -329,8 +353,7 @@ def _classes(signed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFram
     first = materialize(first.select("label", F.col("r.first_id").alias("class_id"), F.col("r.fp").alias("class_fp")), "op9-first")
     of_text = linked.join(first, "label").select(F.col("fp").alias("_fp"), "class_id", "class_fp")
     alone = nodes.join(labels, "node", "left_anti").select(F.col("fp").alias("_fp"), F.col("first_id").alias("class_id"), F.col("fp").alias("class_fp"))
-    of_text = materialize(of_text.union(alone), "op9-classes")
-    worded = signed.filter(F.size("bands") > 0).select("doc_id", "fp").join(of_text, F.col("fp") == F.col("_fp"))
+    worded = signed.filter(F.size("bands") > 0).select("doc_id", "fp").join(of_text.union(alone), F.col("fp") == F.col("_fp"))
     kept = (F.col("fp") == F.col("class_fp")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
     rows = worded.select("doc_id", "class_id", kept.alias("kept"), F.col("fp").alias("text_md5"))
     return rows.union(signed.filter(F.size("bands") == 0).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"), F.col("fp").alias("text_md5")))

@@ -153,6 +153,19 @@ def test_cascade_is_exact_over_its_universe():
         urlfilter.build_segment(np.array([7, 7], np.uint64), np.array([9, 9], np.uint64), np.array([True, False]))
 
 
+def test_similarities_of_several_sets():
+    rng = np.random.default_rng(6)
+
+    def some(weights):
+        h = np.unique(rng.integers(0, 60, rng.integers(1, 50))).astype(np.uint64)
+        return h, rng.choice(weights, len(h)).astype(np.uint32)
+
+    for weights in ([1], [1, 1, 1, 1, 2, 5]):
+        for _ in range(30):
+            one, others = some(weights), [some(weights) for _ in range(9)]
+            assert np.allclose(neardup.similarities(one, others), [neardup.probability_jaccard(one, x) for x in others])
+
+
 # --- op 3 and 10
 
 
@@ -246,6 +259,25 @@ def test_grouping_genetic_against_the_optimum():
 # --- op 5
 
 
+def test_packed_keys_and_sums(monkeypatch):
+    rng = np.random.default_rng(9)
+    monkeypatch.setattr(lmscore, "PENDING", 50)
+    want, sums = collections.Counter(), lmscore._Sums()
+    for n in (0, 1, 7, 300, 40, 2000):
+        keys = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64, endpoint=False) >> np.uint64(rng.integers(0, 60)))
+        counts = rng.integers(0, 9, len(keys))
+        assert (lmscore.unpack_keys(lmscore.pack_keys(keys), len(keys)) == keys).all()
+        assert (lmscore._expand(lmscore._squeeze(counts), len(counts), np.int64) == counts).all()
+        for signed in (keys, keys.view(np.int64)):
+            sums.add(signed, counts)
+            want.update(dict(zip(keys.tolist(), counts.tolist())))
+    keys, counts = sums.merged()
+    assert (np.diff(keys) > 0).all() if len(keys) else True
+    assert dict(zip(keys.tolist(), counts.tolist())) == {k: want[k] for k in want}
+    spread = np.bincount(lmscore.bucket_of(np.arange(100_000, dtype=np.uint64) << np.uint64(8), 10))
+    assert spread.min() > 9000 and len(spread) == 10
+
+
 def test_context_tree_is_a_distribution_and_learns():
     texts = ["abracadabra", "", "ABRA cadabra", "é" * 30, "abracadabra " * 20]
     data, ends = ctw.stream(pa.array(texts), 3)

@@ -171,6 +171,12 @@ def test_scores(spark, docs, none, rows, monkeypatch):
     assert all(r["train_tokens"] == total and r["held_out"] == held[r["doc_id"]] for r in got)
 
 
+def test_scores_beat_the_base_on_held_out_documents(spark):
+    scored = lmscore.score_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), block_bytes=1 << 20)
+    total = scored.filter("held_out").agg(F.sum("score"), F.sum("base_score"), F.count("*")).first()
+    assert total[2] > 50 and total[0] > total[1]
+
+
 def test_quality(spark, docs, none, rows):
     got = quality.judge_quality(docs, [], ["doc_id"]).collect()
     assert len(got) == len(rows) and all(r["kept"] == (not r["base_failed"]) for r in got)
@@ -346,6 +352,8 @@ def test_near_duplicates(spark, docs, none, rows):
 def test_chains_and_families(spark, monkeypatch):
     """A base with variants that are only like the base, and a chain whose ends are unlike each other."""
     monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 4)
+    monkeypatch.setattr(neardup, "TURN_MEMBERS", 3)
+    monkeypatch.setattr(neardup, "AT_ONCE", 2)
     rng = np.random.default_rng(8)
     base = [f"b{k}" for k in range(200)]
     texts = []
