@@ -27,6 +27,8 @@ SLICE, SLICE_ROWS = 3 << 20, 2048
 BLOCK_MEMBERS, TURN_MEMBERS = 1024, 512
 #: Pairs of one member that are worked out together, before components are looked at again.
 AT_ONCE = 64
+#: Hashes of one matrix product, and what an entry of it and a search for one hash cost, in nanoseconds.
+MATRIX_COLUMNS, PRODUCT_COST, SEARCH_COST = 2048, 0.1, 150
 #: Fingerprints of texts to verify that are broadcast at most; more are joined by shuffling.
 BROADCAST_IDS = 1 << 19
 
@@ -221,6 +223,33 @@ def _sets(hashes: pa.ChunkedArray | pa.Array, weights: pa.ChunkedArray | pa.Arra
     return [(np.frombuffer(h, np.uint64), np.frombuffer(w, np.uint32)) for h, w in zip(hashes.to_pylist(), weights.to_pylist())]
 
 
+def _in_common(sets: list[tuple[np.ndarray, np.ndarray]], rows: np.ndarray, columns: np.ndarray, pairs: int) -> np.ndarray | None:
+    """How many hashes each of `rows` shares with each of `columns`, by products of 0-1 matrices.
+
+    None where that costs more than `pairs` of them one by one. Hashes that one set alone
+    has play no part.
+    """
+    flat = np.concatenate([h for h, _ in sets])
+    owner = np.repeat(np.arange(len(sets)), [len(h) for h, _ in sets])
+    _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
+    wanted = times > 1
+    number = np.cumsum(wanted) - 1
+    kept = wanted[code]
+    code, owner = number[code[kept]], owner[kept]
+    n = int(wanted.sum())
+    if n * len(rows) * len(columns) * PRODUCT_COST > pairs * (len(flat) / len(sets)) * SEARCH_COST:
+        return None
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    out = np.zeros((len(rows), len(columns)), np.float32)
+    for start in range(0, n, MATRIX_COLUMNS):
+        a, b = np.searchsorted(code, [start, start + MATRIX_COLUMNS])
+        there = np.zeros((len(sets), MATRIX_COLUMNS), np.float32)
+        there[owner[a:b], code[a:b] - start] = 1
+        out += there[rows] @ there[columns].T
+    return out
+
+
 def _compare_block(similarity: float):
     """A block of a bucket's members against a block of its apart ones: links between two components.
 
@@ -236,16 +265,26 @@ def _compare_block(similarity: float):
         node, label, sign = part.column("node").to_numpy(), part.column("label").to_numpy().copy(), _signs(part.column("sign"))
         bands = part.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         sets = _sets(part.column("hashes"), part.column("weights"))
-        members = np.flatnonzero(own)
-        out: list[tuple[int, int]] = []
-        for i in np.flatnonzero(~own):
+        members, asked = np.flatnonzero(own), np.flatnonzero(~own)
+        nominated = []
+        for i in asked:
             there = members[(label[members] != label[i]) & (~apart[members] | (node[members] > node[i]))]
             there = there[(sign[there] == sign[i]).mean(axis=1) >= LEAST_ESTIMATE]
             shared = np.where(bands[there] == bands[i], bands[there], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
-            there = there[shared == key]
+            nominated.append(there[shared == key])
+        size, plain = np.array([len(h) for h, _ in sets]), np.array([w.max(initial=1) == 1 for _, w in sets])
+        common, column = _in_common(sets, asked, members, sum(map(len, nominated))), np.cumsum(own) - 1
+        out: list[tuple[int, int]] = []
+        for k, (i, there) in enumerate(zip(asked, nominated)):
+            there = there[label[there] != label[i]]
             while len(there):
                 now, there = there[:AT_ONCE], there[AT_ONCE:]
-                for j in now[similarities(sets[i], [sets[j] for j in now]) >= similarity - 1e-9]:
+                if common is not None and plain[i] and plain[now].all():
+                    both = common[k, column[now]]
+                    alike = both / (size[i] + size[now] - both)
+                else:
+                    alike = similarities(sets[i], [sets[j] for j in now])
+                for j in now[alike >= similarity - 1e-9]:
                     if label[i] != label[j]:
                         out.append((min(node[i], node[j]), max(node[i], node[j])))
                         label[label == label[j]] = label[i]

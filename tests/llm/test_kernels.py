@@ -166,6 +166,17 @@ def test_similarities_of_several_sets():
             assert np.allclose(neardup.similarities(one, others), [neardup.probability_jaccard(one, x) for x in others])
 
 
+def test_hashes_in_common(monkeypatch):
+    rng = np.random.default_rng(7)
+    sets = [(np.unique(rng.integers(0, 400, 90)).astype(np.uint64), None) for _ in range(40)]
+    rows, columns = np.arange(0, 40, 3), np.arange(1, 40, 2)
+    want = [[len(np.intersect1d(sets[i][0], sets[j][0])) for j in columns] for i in rows]
+    assert neardup._in_common(sets, rows, columns, 0) is None
+    for width in (7, 64, 2048):
+        monkeypatch.setattr(neardup, "MATRIX_COLUMNS", width)
+        assert (neardup._in_common(sets, rows, columns, 10**9) == want).all()
+
+
 # --- op 3 and 10
 
 
