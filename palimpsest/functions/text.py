@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 
-import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.runtime import ship
+
 
 def filled(text: Column) -> Column:
     """Null as the empty text."""
@@ -80,17 +84,31 @@ def length_tokenizer(floor: int = 1) -> Tokenizer:
     return Tokenizer(f"length/4>={floor}", lambda text: F.greatest(F.lit(floor), F.floor(F.length(filled(text)) / 4)).cast("int"))
 
 
+@cache
+def _library(path: str):
+    """A tokenizers library file, once for each Python worker, on the one core that its task has."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import tokenizers
+
+    return tokenizers.Tokenizer.from_file(path)
+
+
+def _library_counts(path: str, text: pa.Array) -> pa.Array:
+    """Tokens of each text. Encoded, a text takes many times its bytes, so only one is at a time."""
+    held = _library(path)
+    return pa.array([len(held.encode_batch_fast([t.as_py() or ""], add_special_tokens=False)[0]) for t in text], pa.int32())
+
+
 def library_tokenizer(path: str) -> Tokenizer:
     """A tokenizers library file, by Arrow batches; loaded once for each Python worker."""
 
-    @F.pandas_udf("int")
-    def count(text: pd.Series) -> pd.Series:
-        import tokenizers
+    def count(text: Column) -> Column:
+        @F.arrow_udf("int")
+        def counts(text: pa.Array) -> pa.Array:
+            return _library_counts(path, text)
 
-        held = globals().setdefault("_tokenizers", {})
-        if path not in held:
-            held[path] = tokenizers.Tokenizer.from_file(path)
-        return pd.Series([len(e.ids) for e in held[path].encode_batch(text.fillna("").tolist(), add_special_tokens=False)], dtype="int32")
+        ship(SparkSession.active())
+        return counts(text)
 
     return Tokenizer(path, count)
 
